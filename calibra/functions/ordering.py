@@ -79,6 +79,29 @@ def with_position(
     )
 
 
+def with_running_total(
+    df: DataFrame,
+    totals: dict[str, str],
+    order: list[str],
+    by: list[str] = (),
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
+    """Sum of all earlier rows (the row itself excluded) for each ``{new name: column}``."""
+    by = list(by)
+    base = segmented(df, order, task_rows)
+    inside = Window.partitionBy(*by, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    names = list(totals)
+    sums = base.groupBy(*by, "__seg").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(totals.values())])
+    offsets = sums.select(
+        *by, "__seg", *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__b{i}") for i in range(len(names))]
+    )
+    inner = base.withColumns({n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in totals.items()})
+    joined = join_null_safe(inner, offsets, [*by, "__seg"])
+    joined = joined.withColumns({n: F.col(n) + F.col(f"__b{i}") for i, n in enumerate(names)})
+    return joined.drop("__seg", *[f"__b{i}" for i in range(len(names))])
+
+
 def with_gap_edges(
     df: DataFrame,
     col: str,
