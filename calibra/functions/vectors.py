@@ -34,3 +34,25 @@ def element_means(df: DataFrame, by: list[str], features: str, size: int) -> Dat
     """Per group: row count and the array of element means."""
     means = [F.avg(F.col(features)[i]) for i in range(size)]
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array(*means).alias("center"))
+
+
+def sq_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All squared distances between two blocks of rows.
+
+    The matrix product is fast but loses digits for close points, so those are recomputed from
+    the differences; identical rows get exactly zero.
+    """
+    na, nb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    scale = na[:, None] + nb[None, :]
+    sq = np.maximum(scale - 2.0 * (a @ b.T), 0.0)
+    i, j = np.nonzero(sq <= 1e-4 * scale)
+    step = max(1, 4_000_000 // max(a.shape[1], 1))
+    for s in range(0, len(i), step):
+        at = slice(s, s + step)
+        sq[i[at], j[at]] = ((a[i[at]] - b[j[at]]) ** 2).sum(axis=1)
+    return sq
+
+
+def direct_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance of row pairs from their differences: equal rows give bitwise equal results."""
+    return np.sqrt(((a - b) ** 2).sum(axis=-1))
