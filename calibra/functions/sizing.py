@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side with at most this many rows may be broadcast.
 BROADCAST_ROWS = 100_000
@@ -44,15 +45,25 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where neither the session nor its configuration has one,
-    as in a local test.
+    One of our own is set only where neither the session nor its configuration has one, as in a
+    local test.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="calibra-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import cleaning, describing, evaluating, neighbouring, preparing  # noqa: F401
+from . import cleaning, describing, evaluating, modelling, neighbouring, preparing  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
