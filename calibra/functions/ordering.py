@@ -7,7 +7,8 @@ A hot group (or no group at all) is therefore spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .sizing import TASK_ROWS, join_null_safe
 
@@ -31,10 +32,39 @@ def range_bounds(df: DataFrame, cols: list[str], segments: int) -> list:
     return picked
 
 
-def range_segment(df: DataFrame, cols: list[str], bounds: list) -> Column:
-    """Number of bounds not above the row, by binary search over a literal array."""
+def with_bucket(df: DataFrame, cols: list[str], bounds: list, name: str) -> DataFrame:
+    """Add the number of ``bounds`` not above the row, as a pure function of ``cols``.
+
+    One numeric or time column is enough when the bounds differ in it, and is searched in
+    compiled code.  Only when one of its values is hot enough to fill several segments (or it is
+    text) do the further columns take part.
+    """
     if not bounds:
-        return F.lit(0)
+        return df.withColumn(name, F.lit(0))
+    kind = df.schema[cols[0]].dataType
+    if isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        number = _as_double(F.col(cols[0]), kind)
+        schema = T.StructType([T.StructField("v", kind)])
+        local = df.sparkSession.createDataFrame([(b[cols[0]],) for b in bounds], schema)
+        splits = [r[0] for r in local.select(_as_double(F.col("v"), kind)).collect()]
+        if None not in splits and len(set(splits)) == len(splits):
+            # Missing values sort first, into bucket 0; the other buckets count from 0 as well.
+            near = df.withColumn("__num", F.coalesce(number, F.lit(float("-inf"))))
+            bucketizer = Bucketizer(
+                splits=[float("-inf"), *sorted(splits), float("inf")], inputCol="__num", outputCol="__bucket", handleInvalid="keep"
+            )
+            return bucketizer.transform(near).withColumn(name, F.col("__bucket").cast("int")).drop("__num", "__bucket")
+    return df.withColumn(name, _lexical_bucket(df, cols, bounds))
+
+
+def _as_double(col: Column, kind) -> Column:
+    if isinstance(kind, T.NumericType):
+        return col.cast("double")
+    return col.cast("timestamp").cast("double")
+
+
+def _lexical_bucket(df: DataFrame, cols: list[str], bounds: list) -> Column:
+    """Binary search over a literal array of key structs."""
     fields = [df.schema[c] for c in cols]
 
     def literal(row):
@@ -54,7 +84,7 @@ def segmented(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> Da
     """Add ``__seg``, the range segment of each row; 0 when the table fits one task."""
     total = df.count()
     segments = min(MAX_SEGMENTS, -(-total // task_rows))
-    return df.withColumn("__seg", range_segment(df, order, range_bounds(df, order, segments)))
+    return with_bucket(df, order, range_bounds(df, order, segments), "__seg")
 
 
 def with_position(

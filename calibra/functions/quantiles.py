@@ -1,6 +1,6 @@
 """Exact, linearly interpolated quantiles.
 
-Up to ``TASK_ROWS`` rows one aggregate with ``percentile`` answers for all columns.  Its state
+Up to ``TASK_ROWS`` values one aggregate with ``percentile`` answers for all columns.  Its state
 holds every distinct value of a group in one task, so above that size the wanted ranks are
 bracketed instead: approximate split points, counts per bracket, and exact ranking only inside
 the brackets that hold a wanted rank.  No full sort and no unbounded state.
@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .ordering import range_segment
+from .ordering import with_bucket
 from .sizing import TASK_ROWS, join_null_safe, lookup_side
 
-_BRACKETS = 1000
+_FEWEST, _MOST = 100, 10_000
 
 
 def quantiles(
@@ -25,9 +25,10 @@ def quantiles(
 ) -> DataFrame:
     """One row per group and column: ``(*by, column, n, q)``, ``q`` in the order of ``probs``."""
     by, probs = list(by), [float(p) for p in probs]
-    if df.count() <= task_rows:
+    total = df.count()
+    if total * len(cols) <= task_rows:
         return _in_one_aggregate(df, cols, probs, by)
-    return _by_brackets(df, cols, probs, by)
+    return _by_brackets(df, cols, probs, by, min(_MOST, max(_FEWEST, total // TASK_ROWS)))
 
 
 def quantile_row(df: DataFrame, cols: list[str], probs: list[float], task_rows: int = TASK_ROWS) -> DataFrame:
@@ -52,20 +53,15 @@ def _in_one_aggregate(df, cols, probs, by):
     return wide.select(*by, F.inline(F.array(*cells)))
 
 
-def _by_brackets(df, cols, probs, by):
+def _by_brackets(df, cols, probs, by, brackets=_FEWEST):
     df = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    grid = [i / _BRACKETS for i in range(1, _BRACKETS)]
-    row = df.agg(*[F.percentile_approx(c, grid, 10 * _BRACKETS).alias(c) for c in cols]).first()
-    bounds = {c: [{c: v} for v in sorted(set(row[c] or []))] for c in cols}
-
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).alias("value"),
-            range_segment(df, [c], bounds[c]).alias("seg"),
-        )
-        for c in cols
-    ]
+    grid = [i / brackets for i in range(1, brackets)]
+    # The split points need not be exact, only the counts between them are.
+    row = df.agg(*[F.percentile_approx(c, grid, 5 * brackets).alias(c) for c in cols]).first()
+    cells = []
+    for i, c in enumerate(cols):
+        df = with_bucket(df, [c], [{c: v} for v in sorted(set(row[c] or []))], f"__seg{i}")
+        cells.append(F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"__seg{i}").alias("seg")))
     long = df.select(*by, F.inline(F.array(*cells))).where("value is not null")
     keys = [*by, "column"]
 
@@ -88,13 +84,13 @@ def _by_brackets(df, cols, probs, by):
             )
         )
     )
-    brackets = counts.withColumn(
+    wanted = counts.withColumn(
         "ranks",
         F.filter(ranks, lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("cnt"))),
     ).where(F.size("ranks") > 0)
-    brackets = lookup_side(brackets.select(*keys, "seg", "below", "n", "ranks"))
+    wanted = lookup_side(wanted.select(*keys, "seg", "below", "n", "ranks"))
 
-    inner = join_null_safe(long, brackets, [*keys, "seg"], "inner")
+    inner = join_null_safe(long, wanted, [*keys, "seg"], "inner")
     values = inner.groupBy(*keys, "seg", "below", "n", "ranks", "value").agg(F.count(F.lit(1)).alias("cnt"))
     running = Window.partitionBy(*keys, "seg").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     found = (

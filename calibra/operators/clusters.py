@@ -22,12 +22,12 @@ def _vectors(df: DataFrame, key: str, features: str) -> DataFrame:
     return df.select(key, features, array_to_vector(F.col(features).cast("array<double>")).alias("__vec"))
 
 
-def kmeans(df: DataFrame, key: str, features: str, k: int, seeds: list[int], max_iter: int = 100):
+def kmeans(df: DataFrame, key: str, features: str, k: int, seeds: list[int], max_iter: int = 300):
     """``(assignment, centers, inertia)`` of the start with the lowest inertia."""
     vectors = _vectors(df, key, features).persist()
     best = None
     for seed in seeds:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-6, featuresCol="__vec", predictionCol="cluster").fit(vectors)
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="__vec", predictionCol="cluster").fit(vectors)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
     vectors.unpersist()

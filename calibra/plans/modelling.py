@@ -157,7 +157,7 @@ def _fit_and_report(t, estimator, num=_MEASURES):
     )
     parts = split(keyed, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], 0.2, 42, stratify="label").drop(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
-    )
+    ).persist()
     prep = X.TablePreparer(num=[c for c in num if c != "l_extendedprice"])
     fitted = Pipeline(stages=[prep, estimator]).fit(parts.where("part = 'train'"))
     return E.split_metrics(fitted.transform(parts), "label", "prediction")
