@@ -20,29 +20,29 @@ _EDGE = 1e-12
 def components(edges: DataFrame, by: str = "config") -> DataFrame:
     """``(by, node, component)`` for undirected ``(by, u, v)``; the component is its smallest node.
 
-    Every round each node hooks onto its smallest neighbour and the edges are contracted, so the
-    number of nodes at least halves; lineage is cut each round.
+    Every round each node hooks onto its smallest neighbour, follows the hooks one step further,
+    and the edges are contracted, so even a chain halves.  Hooks and edges are written each round,
+    which keeps the plans short.
     """
     both = edges.select(by, "u", "v").unionByName(edges.select(by, F.col("v").alias("u"), F.col("u").alias("v")))
     edges = cut_lineage(both.distinct())
     place = None
     while True:
-        hooks = edges.groupBy(by, "u").agg(F.least(F.col("u"), F.min("v")).alias("h"))
-        if place is None:
-            place = hooks.select(by, F.col("u").alias("node"), F.col("h").alias("component"))
-        else:
-            place = _moved(place, hooks, by)
-        place = cut_lineage(place)
-        a = hooks.select(by, "u", F.col("h").alias("hu"))
-        b = hooks.select(by, F.col("u").alias("v"), F.col("h").alias("hv"))
+        hooks = edges.groupBy(by, F.col("u").alias("node")).agg(F.least(F.first("u"), F.min("v")).alias("component"))
+        hooks = cut_lineage(hooks)
+        hooks = cut_lineage(_followed(hooks, hooks, by))
+        place = hooks if place is None else _followed(place, hooks, by)
+        a = hooks.select(by, F.col("node").alias("u"), F.col("component").alias("hu"))
+        b = hooks.select(by, F.col("node").alias("v"), F.col("component").alias("hv"))
         shrunk = edges.join(a, [by, "u"]).join(b, [by, "v"]).select(by, F.col("hu").alias("u"), F.col("hv").alias("v"))
         edges = cut_lineage(shrunk.where("u <> v").distinct())
         if edges.isEmpty():
             return place
 
 
-def _moved(place, hooks, by):
-    step = hooks.select(by, F.col("u").alias("component"), F.col("h").alias("__to"))
+def _followed(place: DataFrame, hooks: DataFrame, by: str) -> DataFrame:
+    """Replace each component by the component it is hooked onto, if any."""
+    step = hooks.select(by, F.col("node").alias("component"), F.col("component").alias("__to"))
     moved = place.join(step, [by, "component"], "left")
     return moved.select(by, "node", F.coalesce("__to", "component").alias("component"))
 
