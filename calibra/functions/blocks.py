@@ -124,9 +124,15 @@ class Blocks:
 
         left = left if left is not None else self.points
         right = right if right is not None else other.points
-        a = left.join(F.broadcast(cells.drop("__ln")), F.col("cell") == F.col("__lc"))
+        if len(near) == 1:
+            # One cell: every block meets every block, nothing to look up.
+            one = {"__lc": F.lit(0), "__rc": F.lit(0)}
+            a = left.withColumns({**one, "__rn": F.lit(int(other.subs[0]))})
+            b = right.withColumns({**one, "__ln": F.lit(int(self.subs[0]))})
+        else:
+            a = left.join(F.broadcast(cells.drop("__ln")), F.col("cell") == F.col("__lc"))
+            b = right.join(F.broadcast(cells.drop("__rn")), F.col("cell") == F.col("__rc"))
         a = a.withColumn("__ls", F.col("sub")).withColumn("__rs", sequence("__rn")).drop("__rn", "cell", "sub")
-        b = right.join(F.broadcast(cells.drop("__rn")), F.col("cell") == F.col("__rc"))
         b = b.withColumn("__rs", F.col("sub")).withColumn("__ls", sequence("__ln")).drop("__ln", "cell", "sub")
         # Both sides may stem from one frame; new column identities keep them apart.
         a, b = (f.select(*[F.col(c).alias(c) for c in f.columns]) for f in (a, b))

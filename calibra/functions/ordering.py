@@ -80,13 +80,19 @@ def _lexical_bucket(df: DataFrame, cols: list[str], bounds: list) -> Column:
     )
 
 
-def segmented(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
-    """Add ``__seg``, the range segment of each row; 0 when the table fits one task."""
-    total = df.count()
-    segments = min(MAX_SEGMENTS, -(-total // task_rows))
+def segmented(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """Add ``__seg``, the range segment of each row; None when the whole table fits one task."""
+    segments = min(MAX_SEGMENTS, -(-df.count() // task_rows))
+    if segments <= 1:
+        return None
     return with_bucket(df, order, range_bounds(df, order, segments), "__seg")
 
 
+def _by(by: list[str]):
+    """Window over the groups; without groups the caller has checked that the rows fit one task."""
+    return Window.partitionBy(*(by or [F.lit(0)]))
+
+
 def with_position(
     df: DataFrame,
     order: list[str],
@@ -97,8 +103,10 @@ def with_position(
     """Exact 0-based position of each row in ``order``, within ``by`` when given."""
     by = list(by)
     base = segmented(df, order, task_rows)
+    if base is None:
+        return df.withColumn(name, (F.row_number().over(_by(by).orderBy(*order)) - 1).cast("bigint"))
     inside = Window.partitionBy(*by, "__seg").orderBy(*order)
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    before = _by(by).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
     sizes = base.groupBy(*by, "__seg").agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select(*by, "__seg", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     ranked = base.withColumn("__rn", F.row_number().over(inside) - 1)
@@ -119,8 +127,11 @@ def with_running_total(
     """Sum of all earlier rows (the row itself excluded) for each ``{new name: column}``."""
     by = list(by)
     base = segmented(df, order, task_rows)
+    if base is None:
+        earlier = _by(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({n: F.coalesce(F.sum(c).over(earlier), F.lit(0)) for n, c in totals.items()})
     inside = Window.partitionBy(*by, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
+    before = _by(by).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
     names = list(totals)
     sums = base.groupBy(*by, "__seg").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(totals.values())])
     offsets = sums.select(
@@ -146,8 +157,12 @@ def with_gap_edges(
     """
     by = list(by)
     base = segmented(df, order, task_rows)
-    inside = Window.partitionBy(*by, "__seg").orderBy(*order)
-    ranked = base.withColumn("__rn", (F.row_number().over(inside) - 1).cast("bigint"))
+    if base is None:
+        group = _by(by)
+        placed = df.withColumn("__pos", (F.row_number().over(group.orderBy(*order)) - 1).cast("bigint"))
+        return _nearest(placed, col, group, order)
+    group = Window.partitionBy(*by, "__seg")
+    ranked = base.withColumn("__rn", (F.row_number().over(group.orderBy(*order)) - 1).cast("bigint"))
     seen = F.when(F.col(col).isNotNull(), F.struct(F.col("__rn").alias("pos"), F.col(col).alias("value")))
 
     per_segment = ranked.groupBy(*by, "__seg").agg(
@@ -157,7 +172,7 @@ def with_gap_edges(
     )
     # A growing frame costs one step per row only when it grows from the start, hence the
     # reversed orders instead of frames that reach to the end.
-    chain = Window.partitionBy(*(by or [F.lit(0)]))
+    chain = _by(by)
     earlier = chain.orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
     later = chain.orderBy(F.desc("__seg")).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -180,13 +195,22 @@ def with_gap_edges(
         )
     )
     joined = join_null_safe(ranked, carried, [*by, "__seg"]).withColumn("__pos", F.col("__rn") + F.col("__before"))
+    return (
+        _nearest(joined, col, group, order)
+        .withColumn("__prev", F.coalesce("__prev", "__from_left"))
+        .withColumn("__next", F.coalesce("__next", "__from_right"))
+        .drop("__rn", "__before", "__seg", "__from_left", "__from_right")
+    )
+
+
+def _nearest(df: DataFrame, col: str, group, order: list[str]) -> DataFrame:
+    """``__prev`` and ``__next`` inside one window group."""
     here = F.when(F.col(col).isNotNull(), F.struct(F.col("__pos").alias("pos"), F.col(col).alias("value")))
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy(*by, "__seg").orderBy(*[F.desc(c) for c in order])
-    onward = backward.rowsBetween(Window.unboundedPreceding, 0)
+    upto = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    onward = group.orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        joined.withColumn("__here", here)
-        .withColumn("__prev", F.coalesce(F.last("__here", ignorenulls=True).over(upto), F.col("__from_left")))
-        .withColumn("__next", F.coalesce(F.last("__here", ignorenulls=True).over(onward), F.col("__from_right")))
-        .drop("__here", "__rn", "__before", "__seg", "__from_left", "__from_right")
+        df.withColumn("__here", here)
+        .withColumn("__prev", F.last("__here", ignorenulls=True).over(upto))
+        .withColumn("__next", F.last("__here", ignorenulls=True).over(onward))
+        .drop("__here")
     )

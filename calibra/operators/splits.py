@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.sizing import TASK_ROWS, join_null_safe, lookup_side
 
-_NO_STRATUM = "__all"
-
 
 def ticket(key: list[str] | str, seed: int) -> Column:
     """The row's place in a pseudo-random order that does not depend on partitioning."""
@@ -32,7 +30,7 @@ def _cuts(df: DataFrame, strata: list[str], ranks, task_rows: int) -> DataFrame:
     """``(*strata, cuts)``: tickets at the 1-based ranks ``ranks(n)`` of each stratum, ascending."""
     digits = _prefix_digits(df.count(), task_rows)
     rows = df.select(*strata, "__ticket", F.substring("__ticket", 1, digits).alias("__prefix"))
-    whole = Window.partitionBy(*strata)
+    whole = Window.partitionBy(*(strata or [F.lit(0)]))
     before = whole.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
     counts = (
         rows.groupBy(*strata, "__prefix")
@@ -54,12 +52,10 @@ def _cuts(df: DataFrame, strata: list[str], ranks, task_rows: int) -> DataFrame:
 
 
 def _with_cuts(df, key, seed, stratify, ranks, task_rows):
-    strata = [stratify] if stratify else [_NO_STRATUM]
     base = df.withColumn("__ticket", ticket(key, seed))
     if not stratify:
-        base = base.withColumn(_NO_STRATUM, F.lit(0))
-    cuts = lookup_side(_cuts(base, strata, ranks, task_rows))
-    joined = join_null_safe(base, cuts, strata)
+        return base.withColumn("__cuts", _cuts(base, [], ranks, task_rows).scalar())
+    joined = join_null_safe(base, lookup_side(_cuts(base, [stratify], ranks, task_rows)), [stratify])
     return joined.withColumn("__cuts", F.coalesce("__cuts", F.array().cast("array<string>")))
 
 
