@@ -16,11 +16,11 @@ MAX_SEGMENTS = 4096
 _SAMPLE_PER_SEGMENT = 40
 
 
-def range_bounds(df: DataFrame, cols: list[str], segments: int) -> list:
-    """Split points of ``cols`` taken from a seeded sample; at most ``segments - 1`` rows."""
-    if segments <= 1:
-        return []
-    total = df.count()
+def range_bounds(df: DataFrame, cols: list[str], segments: int, total: int) -> list:
+    """Split points of ``cols`` from a seeded sample of a table of ``total`` rows.
+
+    The sample has about forty rows per segment, the result at most ``segments - 1`` rows.
+    """
     fraction = min(1.0, _SAMPLE_PER_SEGMENT * segments / max(total, 1))
     sample = df.select(*cols).sample(False, fraction, 42).orderBy(*cols).collect()
     picked, last = [], None
@@ -82,10 +82,11 @@ def _lexical_bucket(df: DataFrame, cols: list[str], bounds: list) -> Column:
 
 def segmented(df: DataFrame, order: list[str], task_rows: int = TASK_ROWS) -> DataFrame | None:
     """Add ``__seg``, the range segment of each row; None when the whole table fits one task."""
-    segments = min(MAX_SEGMENTS, -(-df.count() // task_rows))
+    total = df.count()
+    segments = min(MAX_SEGMENTS, -(-total // task_rows))
     if segments <= 1:
         return None
-    return with_bucket(df, order, range_bounds(df, order, segments), "__seg")
+    return with_bucket(df, order, range_bounds(df, order, segments, total), "__seg")
 
 
 def _by(by: list[str]):

@@ -227,6 +227,12 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     )
 
 
+def histogram_lines(df: DataFrame, col: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``(mean, median)``: the two marks drawn on a histogram."""
+    median = quantiles(df, [col], [0.5], task_rows=task_rows).select(F.col("q")[0]).scalar()
+    return df.agg(F.avg(col).alias("mean")).withColumn("median", median)
+
+
 def box_stats(df: DataFrame, by: list[str], col: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Quartiles, whiskers and outlier count per group, ordered by median."""
     q = F.col("q")

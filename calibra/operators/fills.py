@@ -46,9 +46,13 @@ def fill_group(
     """
     medians = quantiles(df, cols, [0.5], by, task_rows)
     wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"__m_{c}") for c in cols])
-    joined = join_null_safe(df, lookup_side(wide), by)
+    side = lookup_side(wide)
+    joined = join_null_safe(df, side, by)
     filled = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")) for c in cols})
     filled = filled.drop(*[f"__m_{c}" for c in cols])
+    if side.where(F.greatest(*[F.col(f"__m_{c}").isNull() for c in cols], F.lit(False))).isEmpty():
+        # Every group has a median, so nothing is left for the global one.
+        return filled
     row = quantile_row(filled if fallback_after else df, cols, [0.5], task_rows)
     return _coalesced(filled, cols, {c: row.scalar()[c][0] for c in cols})
 

@@ -229,6 +229,11 @@ def histogram(t):
     return C.round_cols(D.histogram(t("orders"), "o_totalprice", 20), ["low", "high"], 4)
 
 
+@query("histogram_lines", "SELECT round(avg(o_totalprice), 4) AS mean, round(median(o_totalprice), 4) AS median FROM orders")
+def histogram_lines(t):
+    return C.round_cols(D.histogram_lines(t("orders"), "o_totalprice"), ["mean", "median"], 4)
+
+
 @query(
     "box_stats",
     """WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(shuffle_partitions=4)
+    return local_session(shuffle_partitions=2)
 
 
 @pytest.fixture(scope="session")

@@ -46,7 +46,7 @@ def test_quantile_path_follows_the_size(skewed):
 
 
 def test_segments_split_hot_moments(skewed):
-    bounds = range_bounds(skewed, ["at", "id"], 20)
+    bounds = range_bounds(skewed, ["at", "id"], 20, 2000)
     assert len(bounds) > 10
     sizes = [r["count"] for r in segmented(skewed, ["at", "id"], 100).groupBy("__seg").count().collect()]
     assert len(sizes) > 10 and max(sizes) < 500
@@ -116,6 +116,17 @@ def test_group_fill_with_many_groups(skewed, monkeypatch):
     assert rows(fills.fill_group(skewed, ["unit"], ["y"]).select("id", "y")) == small
 
 
+def test_group_fill_falls_back_only_when_a_whole_group_is_missing(skewed):
+    gap = skewed.withColumn("y", F.when(F.col("unit") != 7, F.col("y")))
+    filled = fills.fill_group(gap, ["unit"], ["y"])
+    expected = quantiles(fills.fill_group(gap.where("unit <> 7"), ["unit"], ["y"]), ["y"], [0.5]).first()["q"][0]
+    assert filled.where("y is null").count() == 0
+    assert {r["y"] for r in filled.where("unit = 7").collect()} == {expected}
+    before = fills.fill_group(gap, ["unit"], ["y"], fallback_after=False)
+    expected = quantiles(gap, ["y"], [0.5]).first()["q"][0]
+    assert {r["y"] for r in before.where("unit = 7").collect()} == {expected}
+
+
 def test_lookup_side_is_only_broadcast_when_small(spark, skewed):
     def plan(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
