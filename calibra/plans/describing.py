@@ -271,13 +271,17 @@ def series(t):
     return C.round_cols(D.series(t("events"), ["event_type"], F.dayofmonth("ts"), "value"), ["value"], 2)
 
 
+# The quantile cuts and names of the three risk classes.
+RISK_CUTS, RISK_NAMES = [0.33, 0.66], ["Bajo", "Medio", "Alto"]
+
+
 @query(
     "quantile_class",
     """SELECT o_orderkey, CASE WHEN o_totalprice <= (SELECT quantile_cont(o_totalprice, 0.33) FROM orders) THEN 'Bajo'
               WHEN o_totalprice <= (SELECT quantile_cont(o_totalprice, 0.66) FROM orders) THEN 'Medio' ELSE 'Alto' END AS risk FROM orders""",
 )
 def quantile_class(t):
-    df = D.quantile_class(t("orders"), "o_totalprice", [0.33, 0.66], ["Bajo", "Medio", "Alto"], "risk")
+    df = D.quantile_class(t("orders"), "o_totalprice", RISK_CUTS, RISK_NAMES, "risk")
     return df.select("o_orderkey", "risk")
 
 
