@@ -2,14 +2,15 @@
 
 1. A rolling hash cuts every text into chunks; digests that several documents hold are *shared*,
    and the smallest row key that holds one *owns* it.
-2. Every document is encoded in place: what lies between shared chunks as one run, with the chunks
-   it owns apart.  The ids of owned chunks are written once.  Of a shared chunk only the core is
-   reused, from the first to the last start of white space in it; the rims belong to the runs, so
-   every join is encoded again together with its surroundings.
-3. At each end of a core the piece before and after it are encoded apart and together.  Where the
-   ids do not agree exactly the chunk gives up its core and joins the run, so the run grows until
-   they do.
-4. Documents that wait for chunks of others get their ids by digest and are put together.
+2. Every shared chunk is encoded once, by its owner: its core, from the first to the last start of
+   white space in it.  The rims belong to the text between cores, so every join is encoded again
+   together with its surroundings.
+3. Documents that hold shared chunks get the ids of the cores by digest; what lies between them is
+   encoded as one run.  At each end of a core the piece before and after it are encoded apart and
+   together.  Where the ids do not agree exactly the chunk gives up its core and joins the run, so
+   the run grows until they do.
+4. Documents without shared chunks are encoded in place and never shuffled, as long as the list of
+   those that have some is small enough to broadcast.
 
 Cores begin and end where white space starts, which no token of a vocabulary that splits texts at
 white space crosses; the agreement is checked all the same.
@@ -29,6 +30,8 @@ from .shared import row_key, store
 
 VOCABULARY = "word_bpe_49k.json"
 ZERO_BITS = 9
+# So many row numbers of 8 bytes may be broadcast.
+BROADCAST_ROWS = 5_000_000
 _BATCH_CHARS, _RUN_BYTES = 1_000_000, 250_000
 
 
@@ -122,14 +125,6 @@ def segments(
     return out, named
 
 
-def _put_together(parts, decode, path):
-    ids = np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
-    return ids.tobytes(), len(ids), tokenizer(path).decode(ids.tolist(), skip_special_tokens=False) if decode else None
-
-
-_ENCODED = "key string, __k1 bigint, __k2 bigint, digest binary, ids binary, n_tokens bigint, decoded string, segments array<struct<digest:binary,ids:binary>>"
-
-
 def encode(
     docs: DataFrame,
     key: str = "doc_id",
@@ -137,6 +132,7 @@ def encode(
     path: str | None = None,
     zero_bits: int = ZERO_BITS,
     decoded: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(key, n_tokens, ids)`` for every row, and ``decoded`` text if asked for.
 
@@ -146,9 +142,9 @@ def encode(
     Other columns are not read; no rows give no rows.
     """
     id_, hash_ = row_key(key, text)
-    rows = docs.select(
-        F.col(key).alias("key"), id_.alias("__k1"), hash_.alias("__k2"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    rows = docs.select(F.col(key).cast("string").alias("key"), id_.alias("k1"), hash_.alias("k2"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    # One number stands for the row; if two rows had the same, both would encode the chunk.
+    rows = rows.withColumn("row", F.xxhash64("k1", "k2"))
 
     @F.pandas_udf("array<binary>")
     def digests(texts: pd.Series) -> pd.Series:
@@ -158,80 +154,65 @@ def encode(
             out.append(list({digest_of(data[a:b]) for a, b in chunk_spans(data, zero_bits)}))
         return pd.Series(out)
 
-    # One number stands for the row; if two rows had the same, both would encode the chunk.
-    row = F.xxhash64("__k1", "__k2").alias("row")
-    held = rows.select("__k1", "__k2", row, F.explode(digests.asNondeterministic()(F.col("text"))).alias("digest"))
+    held = store(rows.select("k1", "k2", "row", F.explode(digests.asNondeterministic()(F.col("text"))).alias("digest")), "chunks")
     shared = held.groupBy("digest").agg(F.min("row").alias("owner"), F.max("row").alias("other")).where("owner <> other")
     shared = store(shared.select("digest", "owner"), "shared-chunks")
-    uses = held.join(shared, "digest").groupBy("__k1", "__k2")
-    uses = store(
-        uses.agg(F.collect_set(F.struct("digest", (F.col("row") == F.col("owner")).alias("own"))).alias("u")).select(
-            "__k1", "__k2", F.col("u.digest").alias("digests"), F.col("u.own").alias("own")
-        ),
-        "uses",
-    )
-
-    def in_place(frames):
+    uses = held.join(shared, "digest").groupBy("k1", "k2", "row")
+    uses = uses.agg(F.collect_set(F.struct("digest", (F.col("row") == F.col("owner")).alias("own"))).alias("u"))
+    uses = store(uses, "uses")
+    users = uses.select(F.col("row").alias("user"))
+    if uses.count() <= broadcast_rows:
+        users = F.broadcast(users)
+        plain, sharing = (rows.join(users, F.col("row") == F.col("user"), how) for how in ("left_anti", "left_semi"))
+    else:
+        plain, sharing = None, rows
+
+    def encode_cores(frames):
         for frame in frames:
-            plan, texts = [], []
-
-            def add(data):
-                texts.append(data.decode())
-                return len(texts) - 1
+            names, texts = [], []
+            for value, owned in zip(frame["text"], frame["owned"]):
+                data = value.encode("utf-8", "replace")
+                for digest, (start, end) in segments(data, {bytes(d) for d in owned}, zero_bits, path)[1].items():
+                    names.append(digest)
+                    texts.append(data[start:end].decode())
+            yield pd.DataFrame({"digest": names, "ids": [v.tobytes() for v in encode_all(texts, path)]})
+
+    own = uses.select("k1", "k2", F.expr("transform(filter(u, c -> c.own), c -> c.digest)").alias("owned"))
+    cores = sharing.join(own.where(F.size("owned") > 0), ["k1", "k2"]).select("text", "owned")
+    cores = cores.mapInPandas(encode_cores, "digest binary, ids binary")
+    # Rows alike in id and text both encode what they own.
+    cores = store(cores.dropDuplicates(["digest"]), "cores")
+    got = uses.select("k1", "k2", F.explode("u.digest").alias("digest")).join(cores, "digest").groupBy("k1", "k2")
+    got = got.agg(F.collect_list(F.struct("digest", "ids")).alias("got"))
+    got = got.select("k1", "k2", F.col("got.digest").alias("names"), F.col("got.ids").alias("cores"))
 
-            for value, ds, own in zip(frame["text"], frame["digests"], frame["own"]):
+    def complete(frames):
+        t = tokenizer(path)
+        for frame in frames:
+            plan, texts = [], []
+            for value, names, ids in zip(frame["text"], frame["names"], frame["cores"]):
                 data = value.encode("utf-8", "replace")
-                uses = {bytes(d): bool(o) for d, o in zip(ds, own)} if ds is not None else {}
-                spans, cores = segments(data, set(uses), zero_bits, path)
-                # The owner encodes a core for the others even where its own text makes no use of it.
-                mine = {d: add(data[start:end]) for d, (start, end) in cores.items() if uses[d]}
+                known = {bytes(n): np.frombuffer(v, dtype="<u4") for n, v in zip(names, ids)} if names is not None else {}
                 parts = []
-                for digest, start, end in spans:
+                for digest, start, end in segments(data, set(known), zero_bits, path)[0]:
                     if digest is None:
-                        parts.append((None, add(data[start:end])))
+                        parts.append(len(texts))
+                        texts.append(data[start:end].decode())
                     else:
-                        parts.append((None, mine[digest]) if digest in mine else (digest, None))
-                plan.append((parts, mine))
+                        parts.append(known[digest])
+                plan.append(parts)
             ids = encode_all(texts, path)
-            out = []
-            for key_, k1, k2, (parts, mine) in zip(frame["key"], frame["__k1"], frame["__k2"], plan):
-                for digest, at in mine.items():
-                    out.append((None, None, None, digest, ids[at].tobytes(), None, None, None))
-                if any(digest is not None for digest, _ in parts):
-                    waiting = [{"digest": d, "ids": None if at is None else ids[at].tobytes()} for d, at in parts]
-                    out.append((key_, k1, k2, None, None, None, None, waiting))
-                else:
-                    out.append((key_, k1, k2, None, *_put_together([ids[at] for _, at in parts], decoded, path), None))
-            yield pd.DataFrame(out, columns=columns).astype({c: "Int64" for c in ("__k1", "__k2", "n_tokens")})
-
-    columns = [c.split()[0] for c in _ENCODED.split(", ")]
-    joined = rows.join(uses, ["__k1", "__k2"], "left")
-    joined = joined.select(F.col("key").cast("string").alias("key"), "__k1", "__k2", "text", "digests", "own")
-    first = store(joined.mapInPandas(in_place, _ENCODED), "encoded")
-
-    result = ["key", "n_tokens", "ids", "decoded"]
-    done = first.where("n_tokens is not null").select(*result)
-    chunks = first.where("digest is not null").select("digest", F.col("ids").alias("chunk"))
-    chunks = store(chunks.dropDuplicates(["digest"]), "chunks")
-    waiting = first.where("segments is not null").select("key", "__k1", "__k2", "segments")
-    wanted = waiting.select("__k1", "__k2", F.explode(F.array_distinct("segments.digest")).alias("digest"))
-    got = wanted.where("digest is not null").distinct().join(chunks, "digest").groupBy("__k1", "__k2")
-    got = got.agg(F.collect_list(F.struct("digest", "chunk")).alias("got"))
-    got = got.select("__k1", "__k2", F.col("got.digest").alias("names"), F.col("got.chunk").alias("chunks"))
-
-    def complete(frames):
-        for frame in frames:
-            out = []
-            for key_, parts, names, chunks in frame.itertuples(index=False):
-                found = {bytes(n): c for n, c in zip(names, chunks)}
-                parts = [p["ids"] if p["digest"] is None else found[bytes(p["digest"])] for p in parts]
-                out.append((key_, *_put_together([np.frombuffer(p, dtype="<u4") for p in parts], decoded, path)))
-            yield pd.DataFrame(out, columns=["key", "ids", "n_tokens", "decoded"])[result]
-
-    late = waiting.join(got, ["__k1", "__k2"]).select("key", "segments", "names", "chunks")
-    late = late.mapInPandas(complete, "key string, n_tokens bigint, ids binary, decoded string")
-    out = done.unionByName(late).withColumn("key", F.col("key").cast(docs.schema[key].dataType))
-    return out.select(F.col("key").alias(key), "n_tokens", "ids", *(["decoded"] if decoded else []))
+            whole = [np.concatenate([ids[p] if isinstance(p, int) else p for p in parts] or [np.empty(0, dtype="<u4")]) for parts in plan]
+            out = pd.DataFrame({"key": frame["key"], "n_tokens": [len(v) for v in whole], "ids": [v.tobytes() for v in whole]})
+            yield out.assign(decoded=[t.decode(v.tolist(), skip_special_tokens=False) for v in whole]) if decoded else out
+
+    schema = "key string, n_tokens bigint, ids binary" + (", decoded string" if decoded else "")
+    columns = ["key", "text", "names", "cores"]
+    out = sharing.join(got, ["k1", "k2"], "left").select(*columns).mapInPandas(complete, schema)
+    if plain is not None:
+        none = [F.lit(None).cast("array<binary>").alias(c) for c in columns[2:]]
+        out = plain.select(*columns[:2], *none).mapInPandas(complete, schema).unionByName(out)
+    return out.withColumn("key", F.col("key").cast(docs.schema[key].dataType)).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:

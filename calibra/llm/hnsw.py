@@ -18,7 +18,7 @@ from ..functions.sizing import bounded_rows
 from .shared import store
 from .vectors import usable
 
-SHARD_ROWS, QUERY_ROWS, MAX_DIMS = 4096, 1024, 1000
+SHARD_ROWS, QUERY_ROWS, MAX_DIMS, MAX_TASKS = 4096, 1024, 1000, 20_000
 LINKS, BUILD_WIDTH, SEARCH_WIDTH = 16, 64, 96
 _BATCH = 256
 
@@ -150,6 +150,8 @@ def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS, links: int =
     nodes = store(nodes.agg(F.array_sort(F.collect_set("id")).alias("ids")), "nodes")
     dims = bounded_rows(nodes.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n")), MAX_DIMS, "dimensions")
     shards = F.create_map(*[F.lit(int(v)) for r in dims for v in (r["dim"], -(-r["n"] // shard_rows))]) if dims else F.lit(None).cast("map<int,int>")
+    # Few partitions would hold several shards each, one after the other.
+    tasks = min(4 * sum(-(-r["n"] // shard_rows) for r in dims), MAX_TASKS) or 1
     nodes = nodes.withColumn("dim", F.size("x"))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("x"), F.element_at(shards, F.col("dim"))).cast("int"))
 
@@ -171,7 +173,7 @@ def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS, links: int =
         )
 
     schema = "dim int, shard int, x binary, ids binary, counts binary, graph array<binary>, links array<int>"
-    return store(nodes.groupBy("dim", "shard").applyInPandas(one, schema), "hnsw")
+    return store(nodes.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(one, schema), "hnsw")
 
 
 def _ask(k, width):

@@ -21,7 +21,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends here."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

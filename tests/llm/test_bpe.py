@@ -34,11 +34,11 @@ def rows_for_test():
     return rows
 
 
-@pytest.mark.parametrize("zero_bits", [6, 9])
-def test_same_as_the_tokenizer(spark, zero_bits):
+@pytest.mark.parametrize(("zero_bits", "broadcast_rows"), [(6, 5_000_000), (9, 5_000_000), (6, 0)])
+def test_same_as_the_tokenizer(spark, zero_bits, broadcast_rows):
     rows = rows_for_test()
     df = spark.createDataFrame([(*r, "c", 1, b"x") for r in rows], "doc_id bigint, text string, key string, n_tokens int, ids binary")
-    out = bpe.encode(df.repartition(4), zero_bits=zero_bits, decoded=True)
+    out = bpe.encode(df.repartition(4), zero_bits=zero_bits, decoded=True, broadcast_rows=broadcast_rows)
     got = sorted(((r["doc_id"], r["n_tokens"], np.frombuffer(r["ids"], dtype="<u4").tolist(), r["decoded"]) for r in out.collect()), key=str)
     want = sorted(((i, len(plain(t)[0]), *plain(t)) for i, t in rows), key=str)
     assert got == want
