@@ -16,19 +16,19 @@ def gear_table(bits: int, seed: int = 5) -> np.ndarray:
     """A random number per byte; all white space counts as the same byte."""
     table = np.random.default_rng([seed, bits]).integers(0, 1 << bits, 256, dtype=np.uint64)
     table[_SPACE] = table[32]
-    return table.astype({16: np.uint16, 32: np.uint32}[bits])
+    return table.astype(np.uint16)
 
 
-_GEAR = {bits: gear_table(bits) for bits in (16, 32)}
+_GEAR = gear_table(16)
 
 
-def rolling(data: np.ndarray, bits: int) -> np.ndarray:
-    """``h[i]`` of the ``bits`` bytes that end at ``i``: the sum of their gear numbers, each shifted by its distance.
+def rolling(data: np.ndarray) -> np.ndarray:
+    """``h[i]`` of the 16 bytes that end at ``i``: the sum of their gear numbers, each shifted by its distance.
 
     The sum over a window is doubled in length by one shifted addition.
     """
-    h, width = _GEAR[bits][data], 1
-    while width < bits:
+    h, width = _GEAR[data], 1
+    while width < 16:
         wider = h.copy()
         wider[width:] += h[:-width] << h.dtype.type(width)
         h, width = wider, 2 * width
@@ -55,8 +55,8 @@ def word_chunks(data: np.ndarray, zero_bits: int) -> tuple[np.ndarray, np.ndarra
     words = word_starts(data)
     if not len(words):
         return words, words
-    h = rolling(data, 16)
-    cut = (h[words - 1] >> np.uint16(16 - zero_bits)) == 0
+    h = rolling(data)
+    cut = h[words - 1] < 1 << (16 - zero_bits)
     cut[0] = True
     return words[cut], words
 
@@ -65,5 +65,5 @@ def byte_chunks(data: np.ndarray, zero_bits: int) -> np.ndarray:
     """Starts of chunks of about ``2 ** zero_bits`` bytes, never inside a UTF-8 sequence."""
     if not len(data):
         return np.empty(0, dtype=np.int64)
-    cut = np.flatnonzero((rolling(data, 32)[:-1] >> np.uint32(32 - zero_bits)) == 0) + 1
+    cut = np.flatnonzero(rolling(data)[:-1] < 1 << (16 - zero_bits)) + 1
     return np.concatenate([[0], cut[(data[cut] & 0xC0) != 0x80]])

@@ -52,8 +52,8 @@ def test_long_runs_are_cut_where_both_sides_agree(monkeypatch):
         data = text.encode()
         spans, _ = bpe.segments(data, set(), 9, None)
         assert spans[0][1] == 0 and spans[-1][2] == len(data) and all(a[2] == b[1] for a, b in zip(spans, spans[1:]))
-        ids = np.concatenate(bpe.encode_all([data[s:e].decode() for _, s, e in spans]))
-        assert ids.tolist() == plain(text)[0]
+        ids = b"".join(bpe.encode_all([data[s:e].decode() for _, s, e in spans]))
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain(text)[0]
 
 
 def test_shared_chunks_are_encoded_once(spark, monkeypatch):
@@ -65,6 +65,17 @@ def test_shared_chunks_are_encoded_once(spark, monkeypatch):
     assert len(cut(first, text) & cut(moved, "new words " + text)) >= len(first) - 2
 
 
+def test_pieces_are_reused_only_where_the_vocabulary_splits_at_space(monkeypatch):
+    assert bpe.splits_at_space(None) and bpe.splits_at_space(path("byte_bpe_50k.json"))
+    monkeypatch.setattr(bpe, "_MOST_KNOWN", 5)
+    monkeypatch.setattr(bpe, "_BATCH_CHARS", 200)
+    texts = [passage(i, 40) for i in range(9)] + ["", "y" * 300, passage(3, 40), " ", "\x0b\x0c a\x1f b\u00a0c"]
+    for file in (None, path("byte_bpe_50k.json")):
+        t = bpe.tokenizer(file)
+        want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+        assert [np.frombuffer(v, dtype="<u4").tolist() for v in bpe.encode_all(texts, file)] == want
+
+
 def test_no_rows(spark):
     assert bpe.encode(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 

@@ -14,9 +14,8 @@ def words(seed, n):
 
 def test_rolling_hash_sees_its_window_only():
     data = np.frombuffer(words(1, 200).encode(), dtype=np.uint8)
-    for bits in (16, 32):
-        whole, part = rolling(data, bits), rolling(data[100:], bits)
-        assert (whole[100 + bits - 1 :] == part[bits - 1 :]).all()
+    whole, part = rolling(data), rolling(data[100:])
+    assert (whole[115:] == part[15:]).all() and len(set(whole.tolist())) > 500
 
 
 def test_chunks_follow_an_insertion():
