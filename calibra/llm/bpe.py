@@ -29,14 +29,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import byte_chunks, run_starts
-from .shared import row_key, store
+from .shared import row_key, slices, store
 
 VOCABULARY = "word_bpe_49k.json"
 ZERO_BITS = 9
 # So many row numbers of 8 bytes may be broadcast.
 BROADCAST_ROWS = 2_000_000
 _BATCH_CHARS, _RUN_BYTES = 1_000_000, 250_000
-_MOST_KNOWN, _LONG, _PIECES_AT_ONCE = 400_000, 64, 1000
+_MOST_KNOWN, _LONG, _PIECES_AT_ONCE = 300_000, 64, 1000
 _PIECE = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
 
@@ -248,7 +248,7 @@ def encode(
         plain, sharing = None, rows
 
     def encode_cores(frames):
-        for frame in frames:
+        for frame in slices(frames, "text"):
             names, texts = [], []
             for value, owned in zip(frame["text"], frame["owned"]):
                 data = value.encode("utf-8", "replace")
@@ -268,7 +268,7 @@ def encode(
 
     def complete(frames):
         t = tokenizer(path)
-        for frame in frames:
+        for frame in slices(frames, "text"):
             plan, texts = [], []
             for value, names, ids in zip(frame["text"], frame["names"], frame["cores"]):
                 if names is None and len(value) <= _RUN_BYTES // 4:
@@ -287,8 +287,10 @@ def encode(
                 plan.append(parts)
             ids = encode_all(texts, path)
             whole = [b"".join(ids[p] if isinstance(p, int) else p for p in parts) for parts in plan]
-            out = pd.DataFrame({"key": frame["key"], "n_tokens": [len(v) // 4 for v in whole], "ids": whole})
+            out = pd.DataFrame({"key": frame["key"].to_numpy(), "n_tokens": [len(v) // 4 for v in whole], "ids": whole})
             yield out.assign(decoded=[_decode(t, v) for v in whole]) if decoded else out
+        # The worker lives on; the next task has other texts.
+        _known(path).clear()
 
     schema = "key string, n_tokens bigint, ids binary" + (", decoded string" if decoded else "")
     columns = ["key", "text", "names", "cores"]

@@ -9,8 +9,6 @@ all rows.  A row's own share is taken out of every count before it is used on th
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,7 +20,7 @@ BUCKETS, MAX_LANGUAGES = 1 << 15, 200
 TEMPERED, SMOOTHING, UNKNOWN_PRIOR, MIN_POSTERIOR = 100, 5.0, 0.01, 0.5
 BROADCAST_HOSTS = 100_000
 UNKNOWN = "und"
-_CHARS_AT_ONCE = 1 << 20
+_CHARS_AT_ONCE = 1 << 18
 # Everything in ASCII that is no letter counts as one separator.
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)], dtype=np.uint32)
 
@@ -60,24 +58,50 @@ def train(rows: DataFrame, languages: list[str]) -> np.ndarray:
     return np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
-def likelihoods(text: Column, model: np.ndarray, tempered: int = TEMPERED) -> Column:
-    """The tempered log-likelihood of a text per language, then of unknown text, then its number of trigrams."""
-    unknown = -np.log(BUCKETS)
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return odds / odds.sum(axis=1, keepdims=True)
 
-    @F.pandas_udf("array<double>")
-    def score(texts: pd.Series) -> pd.Series:
-        out = []
-        for value in texts:
-            total, n = np.zeros(model.shape[1]), 0
-            for block in grams(value):
-                total += model[block].sum(axis=0, dtype=np.float64)
-                n += len(block)
-            scale = min(1.0, tempered / n) if n else 0.0
-            out.append(np.append(total * scale, [unknown * n * scale, n]))
-        return pd.Series(out)
 
-    # Never evaluated twice by a filter that moves below the projection.
-    return score.asNondeterministic()(text)
+def likelihoods(texts: pd.Series, model: np.ndarray, tempered: int = TEMPERED) -> np.ndarray:
+    """A row per text: its tempered log-likelihood per language, then of unknown text, then the number of trigrams."""
+    unknown, out = -np.log(BUCKETS), np.zeros((len(texts), model.shape[1] + 2))
+    for row, value in zip(out, texts):
+        for block in grams(value):
+            row[:-2] += model[block].sum(axis=0, dtype=np.float64)
+            row[-1] += len(block)
+        if row[-1]:
+            row[-2] = unknown * row[-1]
+            row[:-1] *= min(1.0, tempered / row[-1])
+    return out
+
+
+def fuse(ll: np.ndarray, counts: dict[str, np.ndarray], seen: np.ndarray, smoothing: float) -> np.ndarray:
+    """Posteriors of the languages and, last, of unknown text.
+
+    ``counts`` has the soft counts of every row's declared tag, suffix, host and domain (NaN: no
+    evidence), ``seen`` those of all rows.
+    """
+    k, letters = len(seen), ll[:, -1:] > 0
+    # Rows without letters are in no count.
+    own = np.where(letters, _softmax(ll[:, :-1])[:, :k], 0.0)
+    counts = {by: np.maximum(c - own, 0.0) for by, c in counts.items()}
+    logs, total = ll[:, :-1].copy(), max(seen.sum(), 1.0)
+    for by in ("declared", "suffix"):
+        c = counts[by]
+        there = ~np.isnan(c[:, 0])
+        # The frequency of a value in all rows is the prior of that in a language, and all that is known of other text.
+        overall = c.sum(axis=1, keepdims=True) / total
+        given = np.log((c + smoothing * overall + 1e-9) / (seen + smoothing + 1e-9))
+        logs[there] += np.concatenate([given, np.log(overall + 1e-9 / total)], axis=1)[there]
+    prior = np.broadcast_to((seen + 1) / (seen.sum() + k), own.shape)
+    for by in ("domain", "host"):
+        c = counts[by]
+        smoothed = (c + smoothing * prior) / (c.sum(axis=1, keepdims=True) + smoothing)
+        prior = np.where(np.isnan(c), prior, smoothed)
+    logs[:, :k] += np.log(prior * (1 - UNKNOWN_PRIOR))
+    logs[:, k] += np.log(UNKNOWN_PRIOR)
+    return _softmax(logs)
 
 
 def registered_domain(host: Column) -> Column:
@@ -85,19 +109,16 @@ def registered_domain(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
-def _sum(values: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, values)
-
-
-def _counts(rows: DataFrame, by: str, k: int, name: str) -> DataFrame:
+def _counts(light: DataFrame, by: str, column: str, name: str, k: int) -> DataFrame:
     sums = [F.sum(F.col("p")[i]) for i in range(k)]
-    return store(rows.where(F.col(by).isNotNull()).groupBy(by).agg(F.array(*sums).alias(f"c_{by}")), name)
+    found = light.where(F.col(by).isNotNull()).groupBy(F.col(by).alias(column)).agg(F.array(*sums).alias(name))
+    return store(found, f"by-{by}")
 
 
-def _look_up(rows: DataFrame, table: DataFrame, by: str) -> DataFrame:
+def _look_up(rows: DataFrame, table: DataFrame, column: str) -> DataFrame:
     """Left join; the table is broadcast where a count shows that it is small."""
     small = table.count() <= BROADCAST_HOSTS
-    return rows.join(F.broadcast(table) if small else table, by, "left")
+    return rows.join(F.broadcast(table) if small else table, column, "left")
 
 
 def identify(
@@ -119,77 +140,55 @@ def identify(
     Ties go to the first language in order.  Repeated rows have equal results; no rows give no rows.
     """
     names = dict(zip(("language", "posterior", "accepted"), fresh(rows, "language", "posterior", "accepted")))
-    evidence = {k: F.col(c) if c else F.lit(None) for k, c in (("declared", declared), ("host", host), ("suffix", suffix))}
-    # The caller's columns travel as one, so no name can clash.
-    inner = rows.select(
-        F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
-        F.col(text).alias("__text"),
-        *[e.cast("string").alias(k) for k, e in evidence.items()],
-    ).withColumn("domain", registered_domain(F.col("host")))
+    found, *evidence = fresh(rows, "__found", "__declared", "__suffix", "__host", "__domain")
+    kinds = ("declared", "suffix", "host", "domain")
+    columns, counted = dict(zip(kinds, evidence)), dict(zip(kinds, fresh(rows, *[f"__c_{by}" for by in kinds])))
+    given = {"declared": declared, "suffix": suffix, "host": host, "domain": host}
+    values = {by: F.col(c).cast("string") if c else F.lit(None).cast("string") for by, c in given.items()}
+    values["domain"] = registered_domain(values["domain"])
     if languages is None:
-        tags = inner.where("declared is not null").groupBy("declared").count()
-        languages = [r["declared"] for r in bounded_rows(tags, MAX_LANGUAGES, "declared languages")]
+        tags = rows.select(values["declared"].alias("tag")).where("tag is not null").distinct()
+        languages = [r["tag"] for r in bounded_rows(tags, MAX_LANGUAGES, "declared languages")]
     languages = sorted(languages)
     k = len(languages)
-    none = rows.withColumns(
-        {names["language"]: F.lit(UNKNOWN), names["posterior"]: F.lit(1.0), names["accepted"]: F.lit(False)}
-    )
     if not k:
-        return none, names
-    model = train(inner.select(F.col("__text").alias("text"), "declared"), languages)
-
-    def softmax(logs, n):
-        top = F.array_max(logs)
-        odds = F.transform(logs, lambda v: F.exp(v - top))
-        total = F.aggregate(odds, F.lit(0.0), lambda a, v: a + v)
-        return F.transform(odds, lambda v: v / total)
-
-    light = inner.drop("row").withColumn("ll", likelihoods(F.col("__text"), model))
-    light = light.withColumn("p", softmax(F.slice("ll", 1, k + 1), k + 1)).where(F.col("ll")[k + 1] > 0)
-    light = store(light.select("declared", "host", "suffix", "domain", "p"), "posteriors")
+        none = {names["language"]: F.lit(UNKNOWN), names["posterior"]: F.lit(1.0), names["accepted"]: F.lit(False)}
+        return rows.withColumns(none), names
+    model = train(rows.select(F.col(text).alias("text"), values["declared"].alias("declared")), languages)
+
+    @F.pandas_udf("array<double>")
+    def posteriors(texts: pd.Series) -> pd.Series:
+        ll = likelihoods(texts, model)
+        return pd.Series([p if n else None for p, n in zip(_softmax(ll[:, :-1])[:, :k], ll[:, -1])])
+
+    # Never evaluated twice by a filter that moves below the projection.
+    light = rows.select(posteriors.asNondeterministic()(F.col(text)).alias("p"), *[v.alias(by) for by, v in values.items()])
+    light = light.where(F.col("p").isNotNull())
+    light = store(light, "posteriors")
     sums = light.agg(*[F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
-    all_ = [float(sums[f"s{i}"] or 0.0) for i in range(k)]
-    share = [(n + 1) / (sum(all_) + k) for n in all_]
-
-    full = inner.withColumn("ll", likelihoods(F.col("__text"), model)).drop("__text").withColumn("p", softmax(F.slice("ll", 1, k + 1), k + 1))
-    for by, column in (("declared", declared), ("suffix", suffix), ("host", host), ("domain", host)):
-        full = _look_up(full, _counts(light, by, k, f"by-{by}"), by) if column else full.withColumn(f"c_{by}", F.lit(None).cast("array<double>"))
-
-    def others(by, i):
-        """Soft count without this row's own share, which is in no count where the text has no letters."""
-        own = F.when(F.col("ll")[k + 1] > 0, F.col("p")[i]).otherwise(0.0)
-        return F.greatest(F.col(f"c_{by}")[i] - own, F.lit(0.0))
-
-    def given_language(by, i):
-        """P(value | language): its frequency in all rows is the prior."""
-        overall = _sum([others(by, j) for j in range(k)]) / max(sum(all_), 1.0)
-        seen = (others(by, i) + smoothing * overall + 1e-9) / (all_[i] + smoothing + 1e-9)
-        return F.when(F.col(by).isNull() | F.col(f"c_{by}").isNull(), F.lit(0.0)).otherwise(F.log(seen))
-
-    def prior(i):
-        def smoothed(by, under):
-            total = _sum([others(by, j) for j in range(k)])
-            return F.when(F.col(f"c_{by}").isNull(), under).otherwise((others(by, i) + smoothing * under) / (total + smoothing))
-
-        return F.log(smoothed("host", smoothed("domain", F.lit(share[i]))) * (1 - UNKNOWN_PRIOR))
-
-    logs = [F.col("ll")[i] + given_language("declared", i) + given_language("suffix", i) + prior(i) for i in range(k)]
-    # Of unknown text nothing is known but the overall frequency of a tag or suffix.
-    def anyhow(by):
-        overall = (_sum([others(by, j) for j in range(k)]) + 1e-9) / max(sum(all_), 1.0)
-        return F.when(F.col(by).isNull() | F.col(f"c_{by}").isNull(), F.lit(0.0)).otherwise(F.log(overall))
-
-    logs.append(F.col("ll")[k] + anyhow("declared") + anyhow("suffix") + float(np.log(UNKNOWN_PRIOR)))
-    full = full.select("row", "ll", softmax(F.array(*logs), k + 1).alias("post"))
-    best = F.array_position("post", F.array_max("post")).cast("int")
-    letters = F.col("ll")[k + 1] > 0
-    codes = F.array(*[F.lit(v) for v in [*languages, UNKNOWN]])
-    full = full.select("row", letters.alias("letters"), F.array_max("post").alias("post"), F.get(codes, best - 1).alias("best"))
-    accepted = F.col("letters") & (F.col("best") != UNKNOWN) & (F.col("post") >= min_posterior)
-    out = full.select(
-        *[F.col("row").getField(c).alias(c) for c in rows.columns],
-        F.when(F.col("letters"), F.col("best")).otherwise(UNKNOWN).alias(names["language"]),
-        F.when(F.col("letters"), F.col("post")).otherwise(1.0).alias(names["posterior"]),
-        accepted.alias(names["accepted"]),
-    )
-    return out, names
+    seen = np.array([float(sums[f"s{i}"] or 0.0) for i in range(k)])
+
+    full = rows.withColumns({columns[by]: values[by] for by in kinds})
+    for by in kinds:
+        if given[by]:
+            full = _look_up(full, _counts(light, by, columns[by], counted[by], k), columns[by])
+        else:
+            full = full.withColumn(counted[by], F.lit(None).cast("array<double>"))
+
+    @F.pandas_udf("language string, posterior double, accepted boolean")
+    def decide(texts: pd.Series, c1: pd.Series, c2: pd.Series, c3: pd.Series, c4: pd.Series) -> pd.DataFrame:
+        missing, ll = np.full(k, np.nan), likelihoods(texts, model)
+        counts = {by: np.stack([missing if v is None else v for v in c]) for by, c in zip(kinds, (c1, c2, c3, c4))}
+        posterior, letters = fuse(ll, counts, seen, smoothing), ll[:, -1] > 0
+        best = np.where(letters, posterior.argmax(axis=1), k)
+        top = np.where(letters, posterior.max(axis=1), 1.0)
+        return pd.DataFrame(
+            {
+                "language": np.array([*languages, UNKNOWN])[best],
+                "posterior": top,
+                "accepted": letters & (best < k) & (top >= min_posterior),
+            }
+        )
+
+    full = full.withColumn(found, decide.asNondeterministic()(F.col(text), *[counted[by] for by in kinds]))
+    return full.select(*rows.columns, *[F.col(found)[c].alias(n) for c, n in names.items()]), names

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sizing import scratch_path
@@ -31,3 +34,11 @@ def row_key(key: str, text: str) -> tuple[Column, Column]:
     Rows that repeat both have the same result in every operator that joins on this pair.
     """
     return F.coalesce(F.col(key).cast("bigint"), F.lit(0)), F.xxhash64(F.col(text))
+
+
+def slices(frames: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """The rows of ``frames`` in parts of about ``chars`` characters of a text column, one row at least."""
+    for frame in frames:
+        part = frame[column].str.len().fillna(0).cumsum().floordiv(chars)
+        for _, rows in frame.groupby(part.to_numpy(), sort=False):
+            yield rows
