@@ -23,8 +23,15 @@ def quantiles(
     by: list[str] = (),
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
-    """One row per group and column: ``(*by, column, n, q)``, ``q`` in the order of ``probs``."""
+    """One row per group and column: ``(*by, column, n, q)``, ``q`` in the order of ``probs``.
+
+    NaN counts as missing.  Where all values of a group are missing ``q`` is, and the row is there.
+    """
     by, probs = list(by), [float(p) for p in probs]
+    missing = F.lit(None).cast("double")
+    others = [F.col(c) for c in by if c not in cols]
+    # A column that is also a key keeps its own type as key.
+    df = df.select(*others, *[F.nanvl(F.col(c).cast("double"), missing).alias(c) for c in cols if c not in by], *[c for c in cols if c in by])
     total = df.count()
     if total * len(cols) <= task_rows:
         return _in_one_aggregate(df, cols, probs, by)
@@ -54,6 +61,9 @@ def _in_one_aggregate(df, cols, probs, by):
 
 
 def _by_brackets(df, cols, probs, by, brackets=_FEWEST):
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"__n{i}").alias("n")) for i, c in enumerate(cols)]
+    listed = df.groupBy(*by).agg(*[F.count(c).alias(f"__n{i}") for i, c in enumerate(cols)])
+    listed = listed.select(*by, F.inline(F.array(*cells)))
     df = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     grid = [i / brackets for i in range(1, brackets)]
     # The split points need not be exact, only the counts between them are.
@@ -98,7 +108,7 @@ def _by_brackets(df, cols, probs, by, brackets=_FEWEST):
         .withColumn("rank", F.explode("ranks"))
         .where("rank >= start and rank < start + cnt")
     )
-    at = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    at = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
 
     def interpolated(p):
         pos = F.lit(p) * (F.col("n") - 1)
@@ -106,6 +116,8 @@ def _by_brackets(df, cols, probs, by, brackets=_FEWEST):
         high = F.element_at("at", F.ceil(pos).cast("bigint"))
         return low + (pos - F.floor(pos)) * (high - low)
 
-    return at.select(*keys, "n", F.array(*[interpolated(p) for p in probs]).alias("q"))
+    # Groups without any value have no bracket, but a row all the same.
+    whole = join_null_safe(listed, at, keys)
+    return whole.select(*keys, "n", F.when(F.col("at").isNotNull(), F.array(*[interpolated(p) for p in probs])).alias("q"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,12 +49,14 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "left") -
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    One of our own is set only where neither the session nor its configuration has one, as in a
-    local test.
+    One of our own is set only where neither the session nor its configuration has one and driver
+    and executors are one process, as in a local test; on a cluster a missing folder is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="calibra-checkpoint-"))
     return sc.getCheckpointDir()
 

@@ -90,8 +90,9 @@ def cast_cols(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def to_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Text to number; text that is no number becomes missing."""
-    return df.withColumns({c: F.trim(F.col(c)).try_cast("double") for c in cols})
+    """Text to number; text that is no number, "nan" included, becomes missing."""
+    missing = F.lit(None).cast("double")
+    return df.withColumns({c: F.nanvl(F.trim(F.col(c)).try_cast("double"), missing) for c in cols})
 
 
 def as_category(df: DataFrame, cols: list[str], max_levels: int = 10_000) -> DataFrame:
@@ -108,16 +109,29 @@ def categories(df: DataFrame, col: str) -> list[str]:
     return df.schema[col].metadata[NOMINAL_KEY]
 
 
+def _common_type(spark, values: list) -> T.DataType:
+    """The type Spark gives an array of the values; of each Python type the extremes stand for all."""
+    by_type = {}
+    for v in values:
+        by_type.setdefault(type(v), []).append(v)
+    few = [x for found in by_type.values() for x in ({min(found), max(found)} if found[0] is not None else {None})]
+    return spark.range(0).select(F.array(*[F.lit(v) for v in few]).alias("a")).schema["a"].dataType.elementType
+
+
 def map_values(df: DataFrame, col: str, mapping: dict, name: str | None = None) -> DataFrame:
-    """Translate codes; a code without a translation becomes missing."""
+    """Translate codes; a code without a translation becomes missing.
+
+    The result has the type that holds all values, however many there are.
+    """
     name = name or col
+    key_type, value_type = df.schema[col].dataType, _common_type(df.sparkSession, list(mapping.values()))
     if len(mapping) <= _MAP_LITERAL_SIZE:
-        table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-        return df.withColumn(name, F.try_element_at(table, F.col(col)))
-    key_type = df.schema[col].dataType
-    value_type = T.LongType() if isinstance(next(iter(mapping.values())), int) else T.StringType()
+        table = F.create_map(*[F.lit(x) for k, v in mapping.items() for x in (k, v)])
+        return df.withColumn(name, F.try_element_at(table, F.col(col)).cast(value_type))
     schema = T.StructType([T.StructField("__code", key_type), T.StructField("__value", value_type)])
-    pairs = lookup_side(df.sparkSession.createDataFrame(list(mapping.items()), schema))
+    convert = float if isinstance(value_type, T.DoubleType) else str if isinstance(value_type, T.StringType) else lambda v: v
+    rows = [(k, None if v is None else convert(v)) for k, v in mapping.items()]
+    pairs = lookup_side(df.sparkSession.createDataFrame(rows, schema))
     joined = df.join(pairs, df[col] == pairs["__code"], "left")
     return joined.withColumn(name, F.col("__value")).drop("__code", "__value")
 

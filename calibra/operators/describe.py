@@ -53,7 +53,10 @@ def moments(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], task_rows: int = TASK_ROWS) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum per column; no columns give no rows."""
+    if not cols:
+        measures = ", ".join(f"{m} double" for m in ("mean", "std", "min", "q25", "q50", "q75", "max"))
+        return df.sparkSession.createDataFrame([], f"column string, count bigint, {measures}")
     quarts = quantiles(df, cols, [0.25, 0.5, 0.75], task_rows=task_rows).select(
         "column", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
     )
@@ -65,20 +68,23 @@ def describe(df: DataFrame, cols: list[str], task_rows: int = TASK_ROWS) -> Data
 
 
 def value_table(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(column, num, txt, n)``: the frequency of every non-missing value.
+    """``(column, whole, num, txt, n)``: the frequency of every non-missing value.
 
-    Numeric columns are compared as numbers (``num``), all others as text (``txt``).
+    Whole numbers are compared as such (``whole``), other numbers as double (``num``, NaN is
+    missing), all others as text (``txt``).
     """
     cells = []
     for c in cols:
-        numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        num = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
-        txt = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
-        cells.append(F.struct(F.lit(c).alias("column"), num.alias("num"), txt.alias("txt")))
+        kind, none = df.schema[c].dataType, F.lit(None)
+        integral, numeric = isinstance(kind, T.IntegralType), isinstance(kind, T.NumericType)
+        whole = F.col(c).cast("bigint") if integral else none.cast("bigint")
+        num = F.nanvl(F.col(c).cast("double"), none.cast("double")) if numeric and not integral else none.cast("double")
+        txt = none.cast("string") if numeric else F.col(c).cast("string")
+        cells.append(F.struct(F.lit(c).alias("column"), whole.alias("whole"), num.alias("num"), txt.alias("txt")))
     return (
         df.select(F.inline(F.array(*cells)))
-        .where("num is not null or txt is not null")
-        .groupBy("column", "num", "txt")
+        .where("whole is not null or num is not null or txt is not null")
+        .groupBy("column", "whole", "num", "txt")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -87,16 +93,21 @@ def modes(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(column, top, freq, unique)``: the most frequent value, ties to the smallest.
 
     Values are counted in a shuffled aggregate, so no task holds all distinct values.
-    ``top`` is a number when all listed columns are numeric, otherwise text.
+    ``top`` is a bigint when all listed columns hold whole numbers, a double when all are numeric,
+    otherwise text.
     """
     best = (
         value_table(df, cols)
         .groupBy("column")
-        .agg(F.min(F.struct((-F.col("n")).alias("n"), "num", "txt")).alias("b"), F.count(F.lit(1)).alias("unique"))
+        .agg(F.min(F.struct((-F.col("n")).alias("n"), "whole", "num", "txt")).alias("b"), F.count(F.lit(1)).alias("unique"))
     )
-    numeric = set(cols) <= set(numeric_cols(df))
-    text = F.coalesce(F.col("b")["txt"], F.col("b")["num"].cast("string"))
-    top = F.col("b")["num"] if numeric else text
+    whole, num = F.col("b")["whole"], F.col("b")["num"]
+    if all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols):
+        top = whole
+    elif set(cols) <= set(numeric_cols(df)):
+        top = F.coalesce(num, whole.cast("double"))
+    else:
+        top = F.coalesce(F.col("b")["txt"], num.cast("string"), whole.cast("string"))
     return best.select("column", top.alias("top"), (-F.col("b")["n"]).alias("freq"), "unique")
 
 
@@ -121,7 +132,7 @@ def central(df: DataFrame, cols: list[str], task_rows: int = TASK_ROWS) -> DataF
     """Mean, median and smallest most frequent value."""
     med = quantiles(df, cols, [0.5], task_rows=task_rows).select("column", F.col("q")[0].alias("median"))
     mode = modes(df, cols).select("column", F.col("top").cast("double").alias("mode"))
-    return moments(df, cols).select("column", "mean").join(med, "column").join(mode, "column")
+    return moments(df, cols).select("column", "mean").join(med, "column", "left").join(mode, "column", "left")
 
 
 def dispersion(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -320,16 +331,17 @@ def profile(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     dims = shape(df).withColumn("column", F.lit("*")).withColumns(
         {"numeric": F.lit(len(num)), "categorical": F.lit(len(cat))}
     )
-    stats = describe(df, num, task_rows)
-    pairs = corr_pairs(df, num).select(F.concat_ws("~", "a", "b").alias("column"), F.col("r"))
     parts = [
         part("shape", dims, ["rows", "columns", "cells", "numeric", "categorical"]),
         part("missing", null_counts(df), ["missing", "percent"]),
         part("distinct", nunique(df), ["distinct"]),
-        part("numeric", stats, ["mean", "std", "min", "q25", "q50", "q75", "max"]),
-        part("outliers", iqr_report(df, num, task_rows), ["outliers"]),
-        part("correlation", pairs, ["r"]),
     ]
+    if num:
+        parts.append(part("numeric", describe(df, num, task_rows), ["mean", "std", "min", "q25", "q50", "q75", "max"]))
+        parts.append(part("outliers", iqr_report(df, num, task_rows), ["outliers"]))
+    if len(num) > 1:
+        pairs = corr_pairs(df, num).select(F.concat_ws("~", "a", "b").alias("column"), F.col("r"))
+        parts.append(part("correlation", pairs, ["r"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

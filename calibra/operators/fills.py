@@ -48,7 +48,8 @@ def fill_group(
     wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"__m_{c}") for c in cols])
     side = lookup_side(wide)
     joined = join_null_safe(df, side, by)
-    filled = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")) for c in cols})
+    present = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    filled = joined.withColumns({c: F.coalesce(present[c], F.col(f"__m_{c}")) for c in cols})
     filled = filled.drop(*[f"__m_{c}" for c in cols])
     if side.where(F.greatest(*[F.col(f"__m_{c}").isNull() for c in cols], F.lit(False))).isEmpty():
         # Every group has a median, so nothing is left for the global one.

@@ -106,15 +106,15 @@ def relabel(
     return marked.withColumn("clean", F.when(F.col("relabeled"), F.col("predicted")).otherwise(F.col(label)))
 
 
-def relabel_summary(relabeled: DataFrame, label: str) -> DataFrame:
-    """Alignment with the neighbours, disagreement and relabelled counts in one row."""
+def relabel_summary(relabeled: DataFrame, label: str, cap: float = 0.30) -> DataFrame:
+    """Alignment with the neighbours, disagreement and relabelled counts in one row; ``cap`` as in :func:`relabel`."""
     apart = F.col(label) != F.col("predicted")
     return relabeled.agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg((~apart).cast("int")).alias("alignment"),
         F.count_if(apart).alias("disagree"),
         F.count_if("relabeled").alias("relabeled"),
-    ).withColumn("max_relabel", F.floor(F.col("rows") * 0.30))
+    ).withColumn("max_relabel", F.floor(F.col("rows") * cap))
 
 
 def balance(df: DataFrame, versions: dict[str, str]) -> DataFrame:

@@ -106,32 +106,38 @@ class KernelSVM(Estimator):
 
     The kernel map is a seeded SQL projection of numeric columns, then one linear machine per
     class (one in all for two classes), then a logistic fit on the margins for probabilities.
-    ``gamma=None`` is one over features times variance.
+    ``gamma=None`` is one over features times variance.  ``C``, ``gamma``, ``width`` and ``seed``
+    are parameters that a search can vary.
     """
 
+    C = Param(Params._dummy(), "C", "weight of the errors", TypeConverters.toFloat)
+    gamma = Param(Params._dummy(), "gamma", "width of the kernel", TypeConverters.toFloat)
+    width = Param(Params._dummy(), "width", "number of cosine features", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the features", TypeConverters.toInt)
+
     def __init__(self, cols: list[str], label: str, C: float = 1.0, gamma: float | None = None, width: int = 100, seed: int = 42):
         super().__init__()
-        self.cols, self.label, self.C, self.gamma, self.width, self.seed = list(cols), label, C, gamma, width, seed
+        self.cols, self.label = list(cols), label
+        self._set(C=C, gamma=gamma, width=width, seed=seed)
 
     def _fit(self, dataset):
-        values = F.explode(F.array(*[F.col(c).cast("double") for c in self.cols])).alias("v")
-        spread = dataset.select(values).agg(F.var_pop("v")).first()[0] or 1.0
-        gamma = self.gamma or 1.0 / (len(self.cols) * spread)
-        rng = np.random.default_rng(self.seed)
-        w = rng.normal(scale=np.sqrt(2.0 * gamma), size=(self.width, len(self.cols)))
-        b = rng.uniform(0.0, 2.0 * np.pi, self.width)
+        C, width = self.getOrDefault(self.C), self.getOrDefault(self.width)
+        gamma = self.getOrDefault(self.gamma) or 1.0 / (len(self.cols) * self._spread(dataset))
+        rng = np.random.default_rng(self.getOrDefault(self.seed))
+        w = rng.normal(scale=np.sqrt(2.0 * gamma), size=(width, len(self.cols)))
+        b = rng.uniform(0.0, 2.0 * np.pi, width)
         terms = [
             f"cos({' + '.join(f'({float(v)!r}D) * `{c}`' for v, c in zip(row, self.cols))} + {float(o)!r}D) AS __k{i}"
             for i, (row, o) in enumerate(zip(w, b))
         ]
         kernel = PipelineModel([
             SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
-            VectorAssembler(inputCols=[f"__k{i}" for i in range(self.width)], outputCol="__kernel"),
+            VectorAssembler(inputCols=[f"__k{i}" for i in range(width)], outputCol="__kernel"),
         ])
         mapped = kernel.transform(dataset).select("__kernel", self.label).persist()
         size = mapped.agg(F.count(F.lit(1)).alias("n"), F.max(self.label).alias("last")).first()
         machine = LinearSVC(
-            regParam=1.0 / (self.C * size["n"]), tol=1e-3, featuresCol="__kernel", labelCol=self.label, predictionCol="__class"
+            regParam=1.0 / (C * size["n"]), tol=1e-3, featuresCol="__kernel", labelCol=self.label, predictionCol="__class"
         )
         if size["last"] > 1:
             machine = OneVsRest(classifier=machine, featuresCol="__kernel", labelCol=self.label, predictionCol="__class")
@@ -142,8 +148,12 @@ class KernelSVM(Estimator):
         mapped.unpersist()
         return PipelineModel([kernel, margins, calibrated])
 
-    def copy(self, extra=None):
-        return KernelSVM(self.cols, self.label, self.C, self.gamma, self.width, self.seed)
+    def _spread(self, dataset):
+        """Variance of all values of all columns, from one row of moments per column."""
+        moments = dataset.agg(*[f(F.col(c).cast("double")) for c in self.cols for f in (F.count, F.avg, F.var_pop)]).first()
+        n, mean, var = (np.array([x or 0.0 for x in moments[i::3]], dtype=float) for i in range(3))
+        middle = (n * mean).sum() / max(n.sum(), 1.0)
+        return (n * (var + (mean - middle) ** 2)).sum() / max(n.sum(), 1.0) or 1.0
 
 
 def importance(model: Transformer, names: list[str]) -> DataFrame:

@@ -15,9 +15,11 @@ PARALLELISM = 4
 
 
 def scorer(metric: str, label: str = "label") -> Evaluator:
-    """``accuracy``, ``f1``, ``weightedPrecision`` ..., or ``r2``, ``rmse``, ``mae``."""
+    """``accuracy``, ``f1`` (weighted), ``f1_binary`` (of class 1), ``weightedPrecision`` ..., or ``r2``, ``rmse``, ``mae``."""
     if metric in ("r2", "rmse", "mae", "mse"):
         return RegressionEvaluator(metricName=metric, labelCol=label)
+    if metric == "f1_binary":
+        return MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0, beta=1.0, labelCol=label)
     return MulticlassClassificationEvaluator(metricName=metric, labelCol=label)
 
 

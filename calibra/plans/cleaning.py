@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import columns as C, describe as D, fills, outliers, quality
+from ..sources.tables import load_parquet
 from .registry import Tables, query
 
 # The tables have no missing values; these holes are written alike here and in the SQL.
@@ -41,7 +42,7 @@ def holed_events(t: Tables):
 
 @query("load_parquet", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def load(t):
-    return t("customer")
+    return load_parquet(t.spark, t.directory, "customer")
 
 
 @query("clean_names", "SELECT s_suppkey AS suppkey, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier")
