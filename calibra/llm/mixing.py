@@ -1,12 +1,15 @@
 """Mixing sources to target weights by systematic sampling.
 
-Every source gets a target share of all words; a document's expected number of copies is its
-source's target over its source's size.  Within a source the documents stand in a fixed order, by
-size class, hash bucket and id.  Running sums of expected copies plus one random offset a source
-are cut at the integers: a document is taken once per integer its interval crosses.  As the order
-runs through the sizes, the words taken stay within about one document of the target; of a few
-random offsets the one that comes nearest is used, as estimated from the counts alone (a bucket
-with one document, such as a very long one, enters exactly).
+Every source gets a target share of all words, and every document a number of expected copies.
+Within a source the documents stand in a fixed order, by size class, hash bucket and id.  Running
+sums of expected copies plus one random offset a source are cut at the integers: a document is taken
+once per integer its interval crosses.
+
+Documents expect target over size of their source, save the large ones.  From the largest size class
+down, a class whose documents hold more than ``1 / LARGE`` of the target each expects a whole number
+of copies in all, and what it takes too much or too little is left to the smaller ones.  So a long
+document does not throw its source off.  Of a few random offsets the one that comes nearest is used,
+as estimated from the counts alone (a bucket with one document enters exactly).
 
 The running position needs no pass over a whole source: documents are counted per (source, class,
 bucket), the counts are summed up, and the position inside a bucket is a window over that bucket.
@@ -16,13 +19,15 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.sizing import bounded_rows
 from .shared import fresh, store
 
 CYCLE, MOST = (1, 2, 3), 3
-BUCKETS, CLASSES_PER_DOUBLING, MAX_SOURCES = 256, 4, 100_000
+BUCKETS, CLASSES_PER_DOUBLING, MAX_SOURCES, LARGE = 256, 16, 100_000, 200
 SEED, OFFSETS = 11, 32
 
 
@@ -43,6 +48,27 @@ def targets(sizes: list[int], weights: list[int], most: int = MOST) -> list[Frac
     return out
 
 
+def expected_copies(n: np.ndarray, size: np.ndarray, target: float, most: int = MOST, large: int = LARGE) -> np.ndarray:
+    """Expected copies of a document of each size class, given documents and words, smallest class first."""
+    out, left, rest = np.zeros(len(n)), float(target), float(size.sum())
+    for k in range(len(n) - 1, -1, -1):
+        mean = size[k] / n[k]
+        if mean * large <= target:
+            out[: k + 1] = min(left / rest, most) if rest > 0 else 0.0
+            break
+        share = min(n[k] * left / rest, most * n[k])
+        rest -= size[k]
+
+        def off(copies):
+            after = left - copies * mean
+            return max(-after, after - most * rest, 0.0), abs(copies - share)
+
+        copies = min(np.floor(share), np.ceil(share), key=off)
+        out[k] = copies / n[k]
+        left = max(left - copies * mean, 0.0)
+    return out
+
+
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
@@ -65,7 +91,7 @@ def mix(
     names = dict(zip(("size", "source_size", "target", "copies"), fresh(docs, "size", "source_size", "target", "copies")))
     size = names["size"]
     none, src, cls, bucket, ratio, start, n, offset = fresh(docs, "__none", "__src", "__cls", "__bucket", "__ratio", "__start", "__n", "__offset")
-    group = [none, src, cls, bucket]
+    group, before_class = [none, src, cls, bucket], fresh(docs, "__before")[0]
     sized = docs.withColumn(size, F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint"))
     sized = sized.withColumns(
         {
@@ -81,36 +107,53 @@ def mix(
     by_source.sort(key=lambda r: (r[none], r[src].encode("utf-8", "surrogatepass")))
     sizes = [r[size] for r in by_source]
     shares = targets(sizes, [cycle[i % len(cycle)] for i in range(len(sizes))], most)
-    rows = [(r[none], r[src], s, float(t), float(t / s) if s else 0.0) for r, s, t in zip(by_source, sizes, shares)]
+    rows = [(r[none], r[src], s, float(t)) for r, s, t in zip(by_source, sizes, shares)]
     # At most max_sources rows.
-    schema = f"`{none}` boolean, `{src}` string, `{names['source_size']}` bigint, `{names['target']}` double, `{ratio}` double"
+    schema = f"`{none}` boolean, `{src}` string, `{names['source_size']}` bigint, `{names['target']}` double"
     table = F.broadcast(docs.sparkSession.createDataFrame(rows, schema))
-    before = Window.partitionBy(none, src).orderBy(cls, bucket).rowsBetween(Window.unboundedPreceding, -1)
+
+    def expect(classes: pd.DataFrame) -> pd.DataFrame:
+        classes = classes.sort_values(cls)
+        n_, each = classes[n].to_numpy(), expected_copies(classes[n].to_numpy(), classes[size].to_numpy(), classes[names["target"]].iloc[0], most)
+        copies = np.cumsum(n_ * each)
+        return classes[[none, src, cls]].assign(**{ratio: each, before_class: copies - n_ * each})
+
+    # A few hundred size classes a source.
+    classes = counts.groupBy(none, src, cls).agg(F.sum(n).alias(n), F.sum(size).alias(size)).join(table, [none, src])
+    classes = classes.groupBy(none, src).applyInPandas(
+        expect, f"`{none}` boolean, `{src}` string, `{cls}` int, `{ratio}` double, `{before_class}` double"
+    )
+    before = Window.partitionBy(none, src, cls).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn(start, F.coalesce(F.sum(n).over(before), F.lit(0))).join(table, [none, src])
-    counts = store(counts, "mix-starts")
+    counts = store(counts.join(classes, [none, src, cls]), "mix-starts")
+
+    def copies_before(i):
+        return F.col(before_class) + i * F.col(ratio)
 
     def draw(j):
-        return F.pmod(F.xxhash64(src, none, F.lit(seed), F.lit(j)), F.lit(1 << 20)) / float(1 << 20)
+        # Halves keep whole numbers of expected copies off the cuts.
+        return (F.pmod(F.xxhash64(src, none, F.lit(seed), j), F.lit(1 << 20)) + F.lit(0.5)) / float(1 << 20)
 
     def estimate(j):
-        copies = F.floor(draw(j) + (F.col(start) + F.col(n)) * F.col(ratio)) - F.floor(draw(j) + F.col(start) * F.col(ratio))
+        end = copies_before(F.col(start) + F.col(n))
+        copies = F.floor(draw(F.lit(j)) + end) - F.floor(draw(F.lit(j)) + copies_before(F.col(start)))
         return F.abs(F.sum(copies * F.col(size) / F.col(n)) - F.max(names["target"]))
 
     tried = F.array(*[F.struct(estimate(j).alias("off"), F.lit(j).alias("j")) for j in range(offsets)])
     # At most max_sources rows.
     chosen = counts.groupBy(none, src).agg(F.array_min(tried)["j"].alias(offset))
-    chosen = chosen.withColumn(offset, F.pmod(F.xxhash64(src, none, F.lit(seed), F.col(offset)), F.lit(1 << 20)) / float(1 << 20))
+    chosen = chosen.withColumn(offset, draw(F.col(offset)))
     starts = counts.drop(n, size).join(F.broadcast(store(chosen, "offsets")), [none, src])
     at = F.col(start) + F.row_number().over(Window.partitionBy(*group).orderBy(key, size))
 
     def crossed(i):
-        return F.floor(F.col(offset) + i * F.col(ratio))
+        return F.floor(F.col(offset) + copies_before(i))
 
     placed = sized.join(starts, group).withColumn(start, at)
     placed = placed.withColumn(
         names["copies"], F.least(crossed(F.col(start)) - crossed(F.col(start) - 1), F.lit(most)).cast("int")
     )
-    return placed.drop(*group, start, ratio, offset), names
+    return placed.drop(*group, start, ratio, before_class, offset), names
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
