@@ -207,7 +207,7 @@ def dbscan_sweep(
     """Score every combination; ``chosen`` marks the best silhouette among the valid ones.
 
     Valid means at least two clusters and at least ``min_share`` of the points clustered; the
-    first of equals wins.
+    first of equals (to nine digits, as sums depend on the order of their terms) wins.
     """
     configs = [(e, m) for e in eps for m in min_samples]
     labels = cut_lineage(dbscan_sweep_labels(df, key, features, configs, rows_per_block))
@@ -222,7 +222,7 @@ def _chosen(scores: DataFrame, min_share: float) -> DataFrame:
     """Mark the valid configuration with the best silhouette; one row per configuration."""
     scores = cut_lineage(scores)
     valid = (F.col("clusters") >= 2) & (F.col("clustered_share") >= min_share) & F.col("silhouette").isNotNull()
-    best = scores.where(valid).agg(F.min_by("config", F.struct(-F.col("silhouette"), F.col("config")))).scalar()
+    best = scores.where(valid).agg(F.min_by("config", F.struct(-F.round("silhouette", 9), F.col("config")))).scalar()
     return scores.withColumn("chosen", F.coalesce(F.col("config") == best, F.lit(False)))
 
 

@@ -110,10 +110,15 @@ def method_ranking(t):
     return C.round_cols(ranked, ["silhouette"], 6)
 
 
-@query("silhouette_squared")
+@query(
+    "silhouette_squared",
+    f"""WITH {PAIRS}, means AS (SELECT i, li = lj AS own, lj, avg(d * d) AS m FROM pairs GROUP BY ALL),
+        sides AS (SELECT i, min(m) FILTER (WHERE own) AS a, min(m) FILTER (WHERE NOT own) AS b FROM means GROUP BY i)
+        SELECT 'label' AS labeling, round(avg(coalesce((b - a) / greatest(a, b), 0)), 6) AS silhouette FROM sides""",
+)
 def silhouette_squared(t):
     value = N.silhouette_squared(t("embeddings"), "embedding", "label")
-    return t.spark.createDataFrame([("label", value)], "labeling string, silhouette double")
+    return t.spark.createDataFrame([("label", round(value, 6))], "labeling string, silhouette double")
 
 
 @query(
