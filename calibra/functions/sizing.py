@@ -6,21 +6,31 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # A side with at most this many rows may be broadcast.
 BROADCAST_ROWS = 100_000
+# Its text and nested columns may hold at most this many bytes in all.
+BROADCAST_BYTES = 64 << 20
 # A window or a percentile state may hold at most this many rows in one task.
 TASK_ROWS = 2_000_000
 
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+
+def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Prepare the small side of a join.
 
-    The rows are read once, at most ``max_rows + 1`` of them.  When they fit they become a
-    broadcast table, so the large side is not shuffled; when they do not, the frame is given
-    back unchanged and the join stays a shuffle join (adaptive execution splits hot keys).
+    At most ``max_rows + 1`` rows are read.  When they fit they become a broadcast table, so the
+    large side is not shuffled; when they do not, the frame is given back unchanged and the join
+    stays a shuffle join (adaptive execution splits hot keys).  Where values have no fixed width,
+    their bytes are added up by the executors first, and nothing is fetched above ``max_bytes``.
     """
+    wide = [f.name for f in df.schema if not isinstance(f.dataType, _FIXED)]
+    if wide:
+        held = df.limit(max_rows + 1).agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))).cast("bigint"))).first()[0]
+        if (held or 0) > max_bytes:
+            return df
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -14,8 +16,9 @@ from ..functions.vectors import element_means, matrix, nearest_center, sq_distan
 from .neighbors import silhouettes
 from .splits import ticket
 
-# Fixed values of the subtractive method: acceptance and rejection shares, and the centre limit.
-ACCEPT, REJECT, MAX_CENTERS = 0.5, 0.15, 26
+# Fixed values of the subtractive method: acceptance and rejection shares, the centre limit, the
+# radius of a bump, and its factor where a chosen centre lowers the potentials.
+ACCEPT, REJECT, MAX_CENTERS, RADIUS, LOWERING = 0.5, 0.15, 26, 1.5, 1.5
 
 
 def _vectors(df: DataFrame, key: str, features: str) -> DataFrame:
@@ -23,7 +26,10 @@ def _vectors(df: DataFrame, key: str, features: str) -> DataFrame:
 
 
 def kmeans(df: DataFrame, key: str, features: str, k: int, seeds: list[int], max_iter: int = 300):
-    """``(assignment, centers, inertia)`` of the start with the lowest inertia."""
+    """``(assignment, centers, inertia)`` of the start with the lowest inertia.
+
+    Warns when that start was stopped by ``max_iter``.
+    """
     vectors = _vectors(df, key, features).persist()
     best = None
     for seed in seeds:
@@ -31,6 +37,8 @@ def kmeans(df: DataFrame, key: str, features: str, k: int, seeds: list[int], max
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
     vectors.unpersist()
+    if best.summary.numIter >= max_iter:
+        warnings.warn(f"k-means stopped after {max_iter} rounds, before its centers came to rest", stacklevel=2)
     assigned = best.transform(_vectors(df, key, features)).select(key, "cluster")
     return assigned, [list(map(float, c)) for c in best.clusterCenters()], float(best.summary.trainingCost)
 
@@ -137,7 +145,8 @@ def fuzzy_cmeans(
     """``(assignment, centers)``: memberships ``u`` and the hard cluster of the largest one.
 
     Rounds stop when the memberships change by less than ``error`` in total (root of the summed
-    squares).  The first centers are ``c`` rows in seeded order.
+    squares); a warning says that ``max_iter`` came first.  The first centers are ``c`` rows in
+    seeded order.
     """
     x = F.col(features).cast("array<double>").alias("x")
     # Center sized, read once: c rows.
@@ -148,6 +157,8 @@ def fuzzy_cmeans(
         if previous is not None and sum(r["change"] for r in rows) ** 0.5 < error:
             break
         previous, centers = centers, np.array([r["center"] for r in rows])
+    else:
+        warnings.warn(f"fuzzy c-means stopped after {max_iter} rounds, before its memberships came to rest", stacklevel=2)
     return fuzzy_assign(df, key, features, centers, m), centers.tolist()
 
 
@@ -179,10 +190,14 @@ def fuzzy_select(df: DataFrame, key: str, features: str, cs: list[int], seed: in
 # --- subtractive clustering -------------------------------------------------------------
 
 
-def potentials(df: DataFrame, key: str, features: str, ra: float, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def potentials(
+    df: DataFrame, key: str, features: str, ra: float, rows_per_block: int = ROWS_PER_BLOCK, reach: float | None = None
+) -> DataFrame:
     """``(id, x, w, potential)`` per distinct point: the sum of Gaussian bumps of all points.
 
-    Cells farther than three radii are skipped: a bump there is below 3e-16.
+    With ``reach`` cells that are farther apart than that many radii do not meet.  Each point left
+    out has a bump below ``exp(-4 * reach ** 2)`` (2.4e-16 at three radii), so a potential is short
+    by at most that much times the number of points.
     """
     blocks = Blocks.build(collapse(as_points(df, key, features), key), rows_per_block)
     scale = (ra / 2.0) ** 2
@@ -196,27 +211,28 @@ def potentials(df: DataFrame, key: str, features: str, ra: float, rows_per_block
     slim = blocks.points.select("id", "x", "w", "cell", "sub")
     id_type = blocks.points.schema["id"].dataType.simpleString()
     parts = blocks.meet(
-        blocks, blocks.within(blocks, 3.0 * ra), bump, f"id {id_type}, p double", left=slim.drop("w"), right=slim.drop("id")
+        blocks, blocks.within(blocks, None if reach is None else reach * ra), bump, f"id {id_type}, p double", left=slim.drop("w"), right=slim.drop("id")
     )
     sums = parts.groupBy("id").agg(F.sum("p").alias("potential"))
     return slim.drop("cell", "sub").join(sums, "id")
 
 
 def subtractive(
-    df: DataFrame, key: str, features: str, ra: float = 1.5, rb_factor: float = 1.5,
+    df: DataFrame, key: str, features: str, ra: float = RADIUS, rb_factor: float = LOWERING,
     accept: float = ACCEPT, reject: float = REJECT, rows_per_block: int = ROWS_PER_BLOCK,
+    max_centers: int = MAX_CENTERS, reach: float | None = None,
 ):
     """``(assignment, centers)`` by repeated choice of the highest potential.
 
     The first centre is the highest potential; each centre lowers the potentials around it; the
     rule stops below ``accept`` of the first potential (below ``reject`` even for the first) or
-    after 26 centres.  The acceptance test makes the rejection band ineffective after the first
+    after ``max_centers``, which is warned of.  ``reach`` as in :func:`potentials`.  The acceptance test makes the rejection band ineffective after the first
     centre; the rule is kept as it is defined.  Ties go to the smallest key.
     """
-    base = cut_lineage(potentials(df, key, features, ra, rows_per_block))
+    base = cut_lineage(potentials(df, key, features, ra, rows_per_block, reach))
     scale = (ra * rb_factor / 2.0) ** 2
     centers, peaks, first = [], [], None
-    while len(centers) < MAX_CENTERS:
+    while len(centers) < max_centers:
         now = base
         if centers:
             table, heights = np.array(centers), np.array(peaks)
@@ -233,6 +249,8 @@ def subtractive(
             break
         centers.append(list(top["x"]))
         peaks.append(peak)
+    else:
+        warnings.warn(f"subtractive clustering stopped at its limit of {max_centers} centres", stacklevel=2)
     assigned = df.select(key, nearest_center(F.col(features).cast("array<double>"), centers)["cluster"].alias("cluster"))
     return assigned, centers
 
@@ -240,9 +258,12 @@ def subtractive(
 # --- hierarchical merging of micro-clusters ---------------------------------------------
 
 
-def micro_clusters(df: DataFrame, key: str, features: str, m: int, seed: int) -> DataFrame:
-    """``(key, x, micro)``: at most ``m`` small k-means clusters to be merged afterwards."""
-    assigned, _, _ = kmeans(df, key, features, m, [seed], max_iter=20)
+def micro_clusters(df: DataFrame, key: str, features: str, m: int, seed: int, max_iter: int = 20) -> DataFrame:
+    """``(key, x, micro)``: at most ``m`` small k-means clusters to be merged afterwards.
+
+    They need not have come to rest; a warning says when ``max_iter`` ended them.
+    """
+    assigned, _, _ = kmeans(df, key, features, m, [seed], max_iter=max_iter)
     points = df.select(key, F.col(features).cast("array<double>").alias("x"))
     return cut_lineage(points.join(assigned.withColumnRenamed("cluster", "micro"), key))
 
@@ -264,13 +285,13 @@ def _micro_distances(micro: DataFrame, key: str, linkage: str, rows_per_block: i
             dist = np.sqrt(sq_distances(matrix(left["x"]), matrix(right["x"])))
             w = left["w"].to_numpy()[:, None] * right["w"].to_numpy()[None, :]
             a, b = left["micro"].to_numpy(), right["micro"].to_numpy()
-            for i in np.unique(a):
-                for j in np.unique(b):
-                    at = np.ix_(a == i, b == j)
-                    out["a"].append(i)
-                    out["b"].append(j)
-                    out["s"].append((dist[at] * w[at]).sum())
-                    out["m"].append(dist[at].max())
+            # In the order of the micro-clusters each pair is a rectangle; sums and maxima run over all at once.
+            rows, cols = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+            dist, w = dist[np.ix_(rows, cols)], w[np.ix_(rows, cols)]
+            (ia, at), (ib, bt) = (np.unique(v, return_index=True) for v in (a[rows], b[cols]))
+            sums = np.add.reduceat(np.add.reduceat(dist * w, at, axis=0), bt, axis=1)
+            tops = np.maximum.reduceat(np.maximum.reduceat(dist, at, axis=0), bt, axis=1)
+            out = {"a": np.repeat(ia, len(ib)), "b": np.tile(ib, len(ia)), "s": sums.ravel(), "m": tops.ravel()}
         return pd.DataFrame(out)
 
     slim = blocks.points.select("x", "w", "micro", "cell", "sub")

@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordering import with_position
@@ -15,8 +15,10 @@ from ..functions.quantiles import quantiles
 from ..functions.sizing import TASK_ROWS, bounded_rows, lookup_side
 from .describe import modes
 
-# Indicator columns are real columns, so their number is limited; use label_encode beyond it.
+# Indicator columns are real columns, so their number is limited; use one_hot_vector beyond it.
 MAX_INDICATORS = 1000
+# Levels of a text column that a fitted preparation holds.
+MAX_LEVELS = 1_000_000
 MISSING_LEVEL = "nan"
 
 
@@ -36,6 +38,26 @@ def one_hot(df: DataFrame, cols: list[str], drop_first: bool = False, max_levels
     return df.withColumns(indicators).drop(*cols)
 
 
+def one_hot_vector(df: DataFrame, cols: list[str], drop_first: bool = False, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Indicators of any number of levels as one sparse vector ``<col>_vec`` in place of each column.
+
+    Position i stands for the i-th level in sorted order; with ``drop_first`` the first level has
+    none.  A missing value is all zeros.
+    """
+    for c in cols:
+        codes = level_codes(df, c, task_rows=task_rows)
+        first = int(drop_first)
+        size = max(codes.count() - first, 1)
+        # The number after the last position stands for all zeros.
+        code = F.when(F.col("__code") >= first, F.col("__code") - first).otherwise(size).cast("double")
+        coded = _with_code(df, c, codes, None).withColumn("__code", code)
+        # The encoder learns the number of positions from the largest code.
+        top = df.sparkSession.createDataFrame([(float(size),)], "__code double")
+        encoder = OneHotEncoder(inputCol="__code", outputCol=f"{c}_vec", dropLast=True).fit(top)
+        df = encoder.transform(coded).drop(c, "__code")
+    return df
+
+
 def level_codes(df: DataFrame, col: str, missing: str | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """``(level, code)``: 0-based rank of each distinct value; any number of levels."""
     text = F.col(col).cast("string")
@@ -148,9 +170,21 @@ def pca_loadings(df: DataFrame, cols: list[str], k: int) -> tuple[np.ndarray, li
     return loadings * np.where(signs == 0, 1.0, signs), list(model.explainedVariance.toArray())
 
 
+def _complete(cols: list[str]) -> dict[str, Column]:
+    """The columns, missing altogether in rows where one of them is missing or NaN."""
+    whole = F.lit(True)
+    for c in cols:
+        x = F.col(c).cast("double")
+        whole = whole & x.isNotNull() & ~F.isnan(x)
+    return {c: F.when(whole, F.col(c)) for c in cols}
+
+
 def pca(df: DataFrame, cols: list[str], k: int = 2) -> DataFrame:
-    """Add ``pc1`` .. ``pck`` of the standardised columns."""
-    scaled = standardize(df.select("*", *[F.col(c).alias(f"__z_{c}") for c in cols]), [f"__z_{c}" for c in cols])
+    """Add ``pc1`` .. ``pck`` of the standardised columns.
+
+    Rows with a missing value have no scores and take part neither in the scaling nor in the fit.
+    """
+    scaled = standardize(df.withColumns({f"__z_{c}": x for c, x in _complete(cols).items()}), [f"__z_{c}" for c in cols])
     loadings, _ = pca_loadings(scaled, [f"__z_{c}" for c in cols], k)
     scores = {}
     for j in range(k):
@@ -162,8 +196,8 @@ def pca(df: DataFrame, cols: list[str], k: int = 2) -> DataFrame:
 
 
 def pca_variance(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(component, share, cumulative)`` of the standardised columns."""
-    _, shares = pca_loadings(standardize(df, cols), cols, len(cols))
+    """``(component, share, cumulative)`` of the standardised columns, from rows without a missing value."""
+    _, shares = pca_loadings(standardize(df.withColumns(_complete(cols)), cols), cols, len(cols))
     rows = [(i + 1, float(s), float(sum(shares[: i + 1]))) for i, s in enumerate(shares)]
     return df.sparkSession.createDataFrame(rows, "component int, share double, cumulative double")
 
@@ -185,17 +219,33 @@ def _text(value: str) -> str:
 
 @dataclass
 class Prepared:
-    """What :class:`TablePreparer` learned: SQL expressions by feature name, in assembler order."""
+    """What :class:`TablePreparer` learned: SQL expressions by feature name, in assembler order.
+
+    Features in ``levels`` are texts, coded by their place in the list, -1 when unseen.
+    """
 
     expressions: dict[str, str]
+    levels: dict[str, list[str]]
     output: str
 
     def model(self) -> PipelineModel:
         """Stages that can be saved and reloaded with any fitted pipeline."""
         columns = [f"__f{i}" for i in range(len(self.expressions))]
-        listed = ", ".join(f"{e} AS {c}" for e, c in zip(self.expressions.values(), columns))
-        select = SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")
-        return PipelineModel([select, VectorAssembler(inputCols=columns, outputCol=self.output, handleInvalid="error")])
+        texts = {c: self.levels[name] for c, name in zip(columns, self.expressions) if name in self.levels}
+        listed = ", ".join(f"{e} AS {f'{c}_text' if c in texts else c}" for e, c in zip(self.expressions.values(), columns))
+        stages = [SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")]
+        if texts:
+            codes = [f"{c}_code" for c in texts]
+            stages.append(
+                StringIndexerModel.from_arrays_of_labels(
+                    list(texts.values()), [f"{c}_text" for c in texts], codes, handleInvalid="keep"
+                )
+            )
+            # The indexer gives unseen texts the number after the last one.
+            seen = [f"CASE WHEN {code} < {len(known)} THEN {code} ELSE -1.0D END AS {c}" for code, (c, known) in zip(codes, texts.items())]
+            stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(seen)} FROM __THIS__"))
+        stages.append(VectorAssembler(inputCols=columns, outputCol=self.output, handleInvalid="error"))
+        return PipelineModel(stages)
 
     @property
     def names(self) -> list[str]:
@@ -206,34 +256,36 @@ class TablePreparer(Estimator):
     """Mixed-type preparation as a pipeline stage, so a search refits it in every fold.
 
     Numeric columns: median fill, then population standardisation when ``scale``.
-    Text columns: most frequent value, then ordinal code, -1 when unseen.
+    Text columns: most frequent value, then ordinal code, -1 when unseen.  A column without any
+    value becomes a constant: 0 for numbers, -1 for text.
     ``passthrough`` columns are taken as they are.  Feature names follow the assembler input:
     numeric, text, passthrough.
     """
 
-    def __init__(self, num=(), cat=(), passthrough=(), scale=True, output="features", max_levels=MAX_INDICATORS):
+    def __init__(self, num=(), cat=(), passthrough=(), scale=True, output="features", max_levels=MAX_LEVELS):
         super().__init__()
         self.num, self.cat, self.passthrough = list(num), list(cat), list(passthrough)
         self.scale, self.output, self.max_levels = scale, output, max_levels
 
     def learn(self, df: DataFrame) -> Prepared:
-        expressions = {}
-        expressions.update(self._numeric(df))
+        expressions, known = self._numeric(df), {}
         for c in self.cat:
-            top = modes(df.select(F.col(c).cast("string").alias(c)), [c]).first()
             levels = levels_of(df, c, self.max_levels)
-            pairs = ", ".join(f"{_text(v)}, {i}.0D" for i, v in enumerate(levels))
-            filled = f"coalesce(cast({_quoted(c)} AS string), {_text(top['top'])})"
-            expressions[c] = f"coalesce(try_element_at(map({pairs}), {filled}), -1.0D)"
+            if not levels:
+                expressions[c] = "-1.0D"
+                continue
+            top = modes(df.select(F.col(c).cast("string").alias(c)), [c]).first()
+            expressions[c] = f"coalesce(cast({_quoted(c)} AS string), {_text(top['top'])})"
+            known[c] = levels
         for c in self.passthrough:
             expressions[c] = f"cast({_quoted(c)} AS double)"
-        return Prepared(expressions, self.output)
+        return Prepared(expressions, known, self.output)
 
     def _numeric(self, df):
         if not self.num:
             return {}
         rows = quantiles(df, self.num, [0.5]).collect()
-        medians = {r["column"]: r["q"][0] for r in rows}
+        medians = {r["column"]: r["q"][0] if r["q"] and r["q"][0] is not None else 0.0 for r in rows}
         filled = {c: f"coalesce(cast({_quoted(c)} AS double), {medians[c]!r}D)" for c in self.num}
         if not self.scale:
             return filled

@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from calibra.functions.sizing import scratch_path
+from calibra.functions.sizing import lookup_side, scratch_path
 from calibra.operators import clusters, columns, describe, features, fills, metrics, models, outliers, quality, search, splits
 from calibra.sources import tables as sources
 
@@ -205,3 +205,37 @@ def test_alignment_swaps_reversed_clusters(spark):
     got = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "id int, cluster int")
     truth = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "id int, y int")
     assert {r["id"]: r["cluster"] for r in clusters.align(got, truth, "id", "y").collect()} == {1: 1, 2: 1, 3: 0}
+
+
+def test_many_levels_have_codes_and_sparse_indicators(spark):
+    rows = [(i, f"level {i % 1500:04}", None, None, float(i)) for i in range(3000)] + [(3000, None, None, None, None)]
+    df = spark.createDataFrame(rows, "id int, c string, none string, empty double, x double")
+    prep = features.TablePreparer(num=["x", "empty"], cat=["c", "none"], scale=False).learn(df)
+    unseen = spark.createDataFrame([(1, "other", "text", 1.0, 1.0)], df.schema.names)
+    got = {r["id"]: list(r["features"]) for r in prep.model().transform(df).select("id", "features").collect()}
+    assert prep.names == ["x", "empty", "c", "none"]
+    assert all(got[i] == [float(i), 0.0, float(i % 1500), -1.0] for i in range(3000))
+    assert got[3000] == [1499.5, 0.0, 0.0, -1.0]
+    assert list(prep.model().transform(unseen).first()["features"])[2:] == [-1.0, -1.0]
+    for first in (False, True):
+        out = features.one_hot_vector(df, ["c"], drop_first=first)
+        vectors = {r["id"]: r["c_vec"] for r in out.collect()}
+        assert vectors[3000].size == 1500 - first and vectors[3000].numNonzeros() == 0
+        for i in range(3000):
+            level = i % 1500 - first
+            assert list(vectors[i].indices) == ([level] if level >= 0 else [])
+
+
+def test_pca_leaves_rows_with_missing_values_out(spark):
+    whole = [(i, float(i % 7), float(i * i % 11)) for i in range(60)]
+    df = spark.createDataFrame([*whole, (60, None, 500.0), (61, 300.0, float("nan"))], "id int, a double, b double")
+    want = {r["id"]: r["pc1"] for r in features.pca(spark.createDataFrame(whole, df.schema), ["a", "b"]).collect()}
+    got = {r["id"]: r["pc1"] for r in features.pca(df, ["a", "b"]).collect()}
+    assert got.pop(60) is None and got.pop(61) is None
+    assert got == pytest.approx(want)
+
+
+def test_lookup_side_counts_bytes(spark):
+    df = spark.range(50).selectExpr("id", "repeat('x', 1000) AS t")
+    assert lookup_side(df, max_bytes=10_000) is df
+    assert lookup_side(df).count() == 50
