@@ -1,67 +1,93 @@
-"""Substring deduplication on content-defined chunks.
-
-Texts are cut by a rolling hash into variable chunks of a few words.  A chunk is repeated when the
-document with the smallest key that holds its digest is another one, or when it stood earlier in
-the same document.  A run of repeated chunks of at least ``min_words`` words is cut out, so chance
-repeats of short phrases stay.  Digests are 64 bits; a wrong cut would need a whole run of them to
-collide.
-
-Only (digest, key) rows are shuffled by digest, counted before the shuffle; the digests that
-several documents share come back to the documents by key, where no passage is hot.
+"""Substring deduplication on windows of words.
+
+A window of ``min_words`` words is repeated when a document with a smaller key holds the same words
+in a row, or when they stood earlier in the same document without overlapping it.  Every word in a
+repeated window is cut, so whatever is cut stands together, in that order, in one other place, and
+periodic text is treated like any other.  Words are what white space separates; digests are 64 bits.
+
+Shuffling every window would cost a row a word.  Each window is therefore stood for by the smallest
+digest of the shorter shingles in it, which neighbouring windows mostly have in common (about a row
+for five words) and which equal windows share wherever they stand, so no repeat is lost.  These
+sketches are counted by digest; only windows whose sketch several documents hold are shuffled
+themselves, counted before the shuffle, and come back to the documents by key, where no passage is
+hot.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .chunks import word_chunks
+from .chunks import word_starts
 from .shared import fresh, row_key, store
 
-ZERO_BITS, MIN_WORDS = 2, 16
+MIN_WORDS = 16
 _LAST = (1 << 63) - 1
-
-
-def chunk_digests(data: bytes, zero_bits: int = ZERO_BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, numbers of words and digests of the chunks of a text, white space at the end left out."""
-    starts, words = word_chunks(np.frombuffer(data, dtype=np.uint8), zero_bits)
-    if not len(starts):
-        return starts, starts, starts
-    n = np.diff(np.append(np.searchsorted(words, starts), len(words)))
-    digest = xxhash.xxh3_64_intdigest
-    at = [*starts.tolist(), len(data)]
-    found = [digest(data[a:b].rstrip()) for a, b in pairwise(at)]
-    return starts, n, np.array(found, dtype=np.uint64).view(np.int64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_WORDS_AT_ONCE = 1 << 16
+
+
+def _word_digests(data: bytes, words: np.ndarray) -> np.ndarray:
+    out, at = np.empty(len(words), dtype=np.uint64), [*words[::_WORDS_AT_ONCE].tolist(), len(data)]
+    for i, (a, b) in enumerate(zip(at, at[1:])):
+        part = data[a:b].split()
+        first = i * _WORDS_AT_ONCE
+        out[first : first + len(part)] = np.fromiter(map(xxhash.xxh3_64_intdigest, part), dtype=np.uint64, count=len(part))
+    return out
+
+
+def _in_a_row(digests: np.ndarray, n: int) -> np.ndarray:
+    """A digest of every ``n`` neighbours."""
+    size = len(digests) - n + 1
+    out = digests[:size].copy()
+    for k in range(1, n):
+        out *= _FACTOR
+        out += digests[k : k + size]
+    return out
+
+
+def chunk_digests(data: bytes, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the words of a text; sketches and digests of its windows, one that begins at each word as long as they last."""
+    words = word_starts(np.frombuffer(data, dtype=np.uint8)) if data else np.empty(0, dtype=np.int64)
+    if len(words) < min_words:
+        return words, np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    digests = _word_digests(data, words)
+    short = max(min_words // 2, 1)
+    shingles, size = _in_a_row(digests, short), len(words) - min_words + 1
+    sketches = shingles[:size].copy()
+    for k in range(1, min_words - short + 1):
+        np.minimum(sketches, shingles[k : k + size], out=sketches)
+    return words, sketches.view(np.int64), _in_a_row(digests, min_words).view(np.int64)
 
 
 def repeated_spans(
-    data: bytes, foreign: dict[int, int], zero_bits: int = ZERO_BITS, min_words: int = MIN_WORDS
+    data: bytes, foreign: dict[int, int], min_words: int = MIN_WORDS
 ) -> list[tuple[int, int, int | None]]:
-    """Byte spans ``(start, end, key)`` to cut: ``key`` of the document that keeps most chunks of the run, None for this one."""
-    starts, n, digests = chunk_digests(data, zero_bits)
-    _, first = np.unique(digests, return_index=True)
-    again = np.ones(len(digests), dtype=bool)
-    again[first] = False
+    """Byte spans ``(start, end, key)`` to cut: ``key`` of the document that keeps most windows of the run, None for this one."""
+    words, _, windows = chunk_digests(data, min_words)
+    if not len(windows):
+        return []
+    _, first, same = np.unique(windows, return_index=True, return_inverse=True)
+    again = np.arange(len(windows)) - first[same] >= min_words
     if foreign:
-        again |= np.isin(digests, np.fromiter(foreign, dtype=np.int64, count=len(foreign)))
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], again.astype(np.int8), [0]])))
-    ends, total = np.append(starts, len(data)), np.concatenate([[0], np.cumsum(n)])
-
-    def keeper(a, b):
-        owners = Counter(foreign.get(d, _LAST) for d in digests[a:b].tolist())
+        again |= np.isin(windows, np.fromiter(foreign, dtype=np.int64, count=len(foreign)))
+    marks = np.flatnonzero(again)
+    if not len(marks):
+        return []
+    # Windows that overlap or touch are one run.
+    breaks = np.flatnonzero(np.diff(marks) > min_words) + 1
+    limits = np.append(words, len(data))
+
+    def keeper(run):
+        owners = Counter(foreign.get(d, _LAST) for d in windows[run].tolist())
         most = min(owners, key=lambda o: (-owners[o], o))
         return None if most == _LAST else most
 
-    return [
-        (int(starts[a]), int(ends[b]), keeper(a, b))
-        for a, b in zip(edges[::2], edges[1::2])
-        if total[b] - total[a] >= min_words
-    ]
+    return [(int(limits[r[0]]), int(limits[r[-1] + min_words]), keeper(r)) for r in np.split(marks, breaks)]
 
 
 def cut_out(data: bytes, spans: list[tuple[int, int, int | None]]) -> str:
@@ -76,36 +102,51 @@ def dedup_substrings(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    zero_bits: int = ZERO_BITS,
     min_words: int = MIN_WORDS,
 ) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with their texts cut, and the column ``spans`` under the name given back.
 
     ``spans`` lists what was cut: byte start and end in the old text, and the key of the document
-    that keeps the passage (the row's own key for a repeat within the text).  The document with the
+    that keeps most of the passage (the row's own key for a repeat within the text).  The document with the
     smallest key keeps a passage; rows without key come last, and rows that repeat a key are one
     document that cuts nothing of its own.  Null texts stay null, empty ones empty; no rows give no
     rows.
     """
     names = dict(zip(("spans",), fresh(docs, "spans")))
-    k1, k2, found, digest, cut = fresh(docs, "__k1", "__k2", "__found", "__digest", "__cut")
+    k1, k2, cut = fresh(docs, "__k1", "__k2", "__cut")
     id_, hash_ = row_key(key, text)
     id_ = F.when(F.col(key).isNull(), F.lit(_LAST)).otherwise(id_)
 
     @F.pandas_udf("array<bigint>")
-    def digests(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(chunk_digests((t or "").encode("utf-8", "replace"), zero_bits)[2]) for t in texts])
-
-    keyed = docs.select(id_.alias(k1), hash_.alias(k2), F.col(text).alias("t"))
-    held = keyed.select(k1, k2, F.explode(digests.asNondeterministic()(F.col("t"))).alias(digest))
-    shared = held.groupBy(digest).agg(F.min(k1).alias("owner"), F.max(k1).alias("other"))
-    shared = store(shared.where("owner < other").select(digest, "owner"), "shared-chunks")
-    foreign = held.join(shared, digest).where(F.col("owner") != F.col(k1))
+    def sketches(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(chunk_digests((t or "").encode("utf-8", "replace"), min_words)[1]) for t in texts])
+
+    @F.pandas_udf("array<bigint>")
+    def windows(texts: pd.Series, shared: pd.Series) -> pd.Series:
+        out = []
+        for value, held in zip(texts, shared):
+            _, sketch, window = chunk_digests(value.encode("utf-8", "replace"), min_words)
+            out.append(np.unique(window[np.isin(sketch, held)]))
+        return pd.Series(out)
+
+    def several(held, name):
+        """Digests that rows of several keys hold, with the smallest key."""
+        shared = held.groupBy("digest").agg(F.min("k1").alias("owner"), F.max("k1").alias("other"))
+        return store(shared.where("owner < other").select("digest", "owner"), name)
+
+    keyed = docs.select(id_.alias("k1"), hash_.alias("k2"), F.col(text).alias("t"))
+    held = keyed.select("k1", "k2", F.explode(sketches.asNondeterministic()(F.col("t"))).alias("digest"))
+    likely = held.join(several(held, "shared-sketches"), "digest").groupBy("k1", "k2")
+    likely = store(likely.agg(F.collect_set("digest").alias("s")), "likely")
+    held = keyed.join(likely, ["k1", "k2"])
+    held = held.select("k1", "k2", F.explode(windows.asNondeterministic()(F.col("t"), F.col("s"))).alias("digest"))
+    # Read twice below, and each time the texts would be joined again.
+    held = store(held, "windows")
+    foreign = held.join(several(held, "shared-windows"), "digest").where("owner <> k1").groupBy("k1", "k2")
+    foreign = foreign.agg(F.collect_set(F.struct("digest", "owner")).alias("f"))
     lists = store(
-        foreign.groupBy(k1, k2).agg(
-            F.collect_set(F.struct(digest, "owner")).alias("f")
-        ).select(k1, k2, F.col(f"f.{digest}").alias("d"), F.col("f.owner").alias("o")),
-        "foreign-chunks",
+        foreign.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("f.digest").alias("d"), F.col("f.owner").alias("o")),
+        "foreign-windows",
     )
 
     @F.pandas_udf("text string, start array<bigint>, end array<bigint>, owner array<bigint>")
@@ -117,7 +158,7 @@ def dedup_substrings(
                 continue
             data = value.encode("utf-8", "replace")
             lookup = dict(zip(ds.tolist(), os.tolist())) if ds is not None else {}
-            spans = repeated_spans(data, lookup, zero_bits, min_words)
+            spans = repeated_spans(data, lookup, min_words)
             starts, ends, owners = ([s[i] for s in spans] for i in range(3))
             owners = [_LAST if o is None else o for o in owners]
             out.append((cut_out(data, spans) if spans else value, starts, ends, owners))

@@ -86,3 +86,33 @@ def test_no_rows(spark):
 def test_query(spark):
     out = queries.QUERIES["op8_substring_dedup"](spark, "/root/testdata/sf0.001")
     assert out.count() == 200 and out.columns[:2] == ["doc_id", "text"]
+
+
+def covered(rows, n=16):
+    """Words to cut of every text, by plain comparison of windows of words in the order of the keys."""
+    seen, out = {}, {}
+    for i, text in sorted(rows):
+        all_, first, marks = text.split(), {}, set()
+        for at in range(len(all_) - n + 1):
+            window = tuple(all_[at : at + n])
+            if window in seen or at - first.setdefault(window, at) >= n:
+                marks.update(range(at, at + n))
+        for window in first:
+            seen.setdefault(window, i)
+        out[i] = [w for at, w in enumerate(all_) if at not in marks]
+    return out
+
+
+def test_periodic_runs_are_cut(spark):
+    """One word, two words and a short line, repeated for 51 words or more in two documents and in other phases."""
+    periods = ["and", "der", "a", "no", "yes no", "to be", "x y", "the same old line\n", "Home | About us | Log in\n"]
+    rows = []
+    for p, period in enumerate(periods):
+        run_ = (period + " ") * (-(-60 // len(period.split())))
+        rows += [(10 * p + 1, f"{words(p, 40)} {run_} {words(50 + p, 40)}"), (10 * p + 2, f"{words(100 + p, 43)} {run_[len(period.split()[0]):]} {words(150 + p, 40)}")]
+    got = {r["doc_id"]: r["text"].split() for r in run(spark, rows)}
+    for p in range(len(periods)):
+        # One copy of a window of 16 words stays, in the first document; the other keeps its own words only.
+        assert len(got[10 * p + 1]) <= 80 + 16 + 6, periods[p]
+        assert got[10 * p + 2] == words(100 + p, 43).split() + words(150 + p, 40).split(), periods[p]
+    assert got == covered(rows)
