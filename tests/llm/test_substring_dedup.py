@@ -116,3 +116,31 @@ def test_periodic_runs_are_cut(spark):
         assert len(got[10 * p + 1]) <= 80 + 16 + 6, periods[p]
         assert got[10 * p + 2] == words(100 + p, 43).split() + words(150 + p, 40).split(), periods[p]
     assert got == covered(rows)
+
+
+def test_words_that_never_stood_together_stay(spark):
+    """Whole chunks of earlier texts, each shorter than 16 words, in an order that stands nowhere."""
+
+    def chunks(text):
+        data = text.encode()
+        at = [*word_chunks(np.frombuffer(data, dtype=np.uint8), 2)[0].tolist(), len(data)]
+        return [data[a:b].decode().rstrip() for a, b in zip(at, at[1:])]
+
+    sources = [(i, words(i, 60)) for i in range(1, 31)]
+    parts = [c for _, t in sources for c in chunks(t)[1:-1] if len(c.split()) < 12 and len(c.encode()) > 16]
+    mixed = []
+    for part in random.Random(7).sample(parts, len(parts)):
+        if chunks(" ".join([*mixed, part])) == [*mixed, part]:
+            mixed.append(part)
+    rows = [*sources, (100, " ".join(mixed))]
+    assert len(rows[-1][1].split()) > 100
+    assert covered(rows) == {i: t.split() for i, t in rows}
+    out = run(spark, rows)
+    assert {r["doc_id"]: r["text"] for r in out} == dict(rows) and not any(r["spans_"] for r in out)
+
+
+def test_same_as_plain_windows_of_words(spark, tables):
+    rows = [(r["doc_id"], r["text"]) for r in tables("documents").collect()]
+    want = covered(rows)
+    assert {r["doc_id"]: r["text"].split() for r in run(spark, rows)} == want
+    assert sum(want[i] != t.split() for i, t in rows) > 10
