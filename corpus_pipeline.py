@@ -40,8 +40,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix, a row for each time it is taken."""
-    return bpe.encode(docs)
+    """Ids of every document of the mix and the text they decode to, a row for each time it is taken."""
+    return bpe.encode(docs, decoded=True)
 
 
 STAGES = [
@@ -57,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; a row per document taken, with its ids."""
+    """All stages over ``documents``; a row per document taken, with its ids and their decoded text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, name)

@@ -76,6 +76,13 @@ def test_token_stage(steps):
     assert sorted((r["doc_id"], np.frombuffer(r["ids"], dtype="<u4").tolist()) for r in steps[5]) == want
 
 
+def test_token_stage_decodes(steps):
+    t = Tokenizer.from_file(path("word_bpe_49k.json"))
+    for r in steps[5]:
+        assert r["decoded"] == t.decode(np.frombuffer(r["ids"], dtype="<u4").tolist(), skip_special_tokens=False)
+    assert sum(len(r["decoded"]) > 0 for r in steps[5]) == sum(len(r["text"]) > 0 for r in steps[4])
+
+
 def test_run_is_the_stages(spark, steps):
     out = corpus_pipeline.run(spark, DIRECTORY)
     assert sorted(map(str, out.collect())) == sorted(map(str, steps[5]))
