@@ -103,7 +103,7 @@ def quality_classifier(t):
 
 @_query("op6_token_counts")
 def token_counts(t):
-    return token_spans.section_tokens(t("documents"))
+    return token_spans.section_tokens(t("documents"), every=True)
 
 
 @_query("op7_simhash")

@@ -57,13 +57,14 @@ def allocate(ends: np.ndarray, starts: np.ndarray, size: int, rule: str) -> tupl
 
 def section_tokens(
     docs: DataFrame, key: str = "doc_id", text: str = "text", rule: str = "most", path: str | None = None,
-    pattern: str | None = None, sections=line_sections,
+    pattern: str | None = None, sections=line_sections, every: bool = False,
 ) -> DataFrame:
     """``(key, section, start_byte, end_byte, n_tokens, n_crossing)`` for every section of every document.
 
     ``sections`` gives the byte starts of the sections of a text in UTF-8 (the first is 0); by
     default its lines.  The tokens of a document's sections add up to those of the whole document.
-    Null and empty texts have no section; rows that repeat a key are counted each.
+    Null and empty texts have no section, or with ``every`` section 0 from byte 0 to 0 without tokens;
+    rows that repeat a key are counted each.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -71,7 +72,7 @@ def section_tokens(
     @F.pandas_udf("start_byte array<bigint>, end_byte array<bigint>, n_tokens array<bigint>, n_crossing array<bigint>")
     def count(texts: pd.Series) -> pd.DataFrame:
         encoding, lengths = encoder(path, pattern)
-        out, none = [], np.empty(0, dtype=np.int64)
+        out, none = [], np.zeros(int(every), dtype=np.int64)
         for value in texts:
             data = (value or "").encode("utf-8", "replace")
             if not data:

@@ -144,3 +144,12 @@ def test_sections_of_all_documents(spark, tables):
     got = {r["doc_id"]: r["n_tokens"] for r in token_spans.document_tokens(out).collect()}
     assert got == {r["doc_id"]: len(encoding.encode_ordinary(r["text"])) for r in tables("documents").collect() if r["text"]}
     assert token_spans.section_tokens(tables("documents").limit(0)).count() == 0
+
+
+def test_documents_without_text_count_no_tokens(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a\nb"), (None, "")], "doc_id bigint, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.QUERIES["op6_token_counts"](spark, str(tmp_path))
+    assert sorted((tuple(r) for r in out.where("doc_id is null or doc_id < 3").collect()), key=str) == [(1, 0, 0, 0, 0, 0), (2, 0, 0, 0, 0, 0), (None, 0, 0, 0, 0, 0)]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_spans.document_tokens(out).collect()}
+    assert got.pop(3) >= 3 and got == {1: 0, 2: 0, None: 0}
