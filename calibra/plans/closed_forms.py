@@ -320,8 +320,8 @@ def random_search_r2(t):
 @query(
     "best_of_two_r2",
     f"""WITH {_FOLDED}, {_fold_scores('ridge', _RIDGE, _drawn(*RIDGE_RANGE))}, {_fold_scores('lasso', _LASSO, _drawn(*LASSO_RANGE))}
-        SELECT candidate::INT AS candidate, round(mean, 6) AS mean, round(std, 6) AS std, true AS best
-        FROM (SELECT *, 0 AS second FROM ridge UNION ALL SELECT *, 1 FROM lasso) ORDER BY mean DESC, second, candidate LIMIT 1""",
+        SELECT candidate::INT AS candidate, round(mean, 6) AS mean, round(std, 6) AS std, true AS best FROM
+        (SELECT * FROM (SELECT *, 0 AS second FROM ridge UNION ALL SELECT *, 1 FROM lasso) ORDER BY mean DESC, second, candidate LIMIT 1)""",
 )
 def best_of_two_r2(t):
     best = H.select_best(_random_search(t, M.Ridge(), RIDGE_RANGE), _random_search(t, M.Lasso(), LASSO_RANGE))
