@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sizing import scratch_path
-from . import bpe, embedding_dedup, hnsw, language, mixing, ordinal, simhash, substring_dedup, token_spans, warc
+from . import bpe, embedding_dedup, fim, hnsw, language, mixing, ordinal, simhash, substring_dedup, token_spans, warc
 from .shared import store
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -136,3 +136,32 @@ def mixing_words(t):
 @_query("op10_embedding_dedup")
 def embedding_groups(t):
     return embedding_dedup.embedding_components(t("embeddings"))
+
+
+@_query(
+    "op13_fill_in_middle",
+    r"""WITH units AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+            regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+        drawn AS (SELECT *, len(u) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS d FROM units),
+        cuts AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 50 THEN 'plain'
+                WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+        parts AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+            coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts""",
+)
+def fill_in_middle(t):
+    """The restored text is rebuilt from output and form alone."""
+    out, names = fim.transform(t("documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        names["n"],
+        names["form"],
+        names["prefix_chars"],
+        names["middle_chars"],
+        F.sha2(F.encode(names["output"], "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(fim.restore(names["output"], names["form"]), "UTF-8"), 256).alias("restored_sha256"),
+    )
