@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sizing import scratch_path
-from . import bpe, embedding_dedup, fim, hnsw, language, mixing, ordinal, simhash, substring_dedup, token_spans, warc
+from . import bpe, embedding_dedup, fim, hnsw, language, mixing, ordinal, packing, simhash, substring_dedup, token_spans, warc
 from .shared import store
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -138,6 +138,13 @@ def embedding_groups(t):
     return embedding_dedup.embedding_components(t("embeddings"))
 
 
+@_query("op12_best_fit_packing")
+def best_fit_packing(t):
+    """Pieces give up their ids for a checksum before they travel."""
+    pieces = packing.pieces(t("documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces)[0]
+
+
 @_query(
     "op13_fill_in_middle",
     r"""WITH units AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
