@@ -23,6 +23,8 @@ from .shared import fresh
 
 SEED, FIM_PERCENT, SPM_PERCENT = 42, 50, 80
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
+# Bytes of text that are worked on at once; a longer text is worked on alone.
+BYTES_AT_ONCE = 4 << 20
 FIELDS = ["n", "form", "prefix_chars", "middle_chars", "output"]
 
 _HIGH = np.uint64(0x8080808080808080)
@@ -139,6 +141,13 @@ def cut(texts: pa.Array, h: list[np.ndarray], fim_percent: int, spm_percent: int
     return pa.StructArray.from_arrays(arrays, names=FIELDS)
 
 
+def cut_in_parts(texts: pa.Array, h: list[np.ndarray], *percents: int) -> pa.Array:
+    """``cut`` of some rows at a time, whatever the size of the batch."""
+    part = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // BYTES_AT_ONCE
+    at = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return pa.concat_arrays([cut(texts.slice(a, b - a), [x[a:b] for x in h], *percents) for a, b in zip(at, at[1:])])
+
+
 def transform(
     docs: DataFrame, key: str = "doc_id", text: str = "text", seed: int = SEED,
     fim_percent: int = FIM_PERCENT, spm_percent: int = SPM_PERCENT,
@@ -159,7 +168,7 @@ def transform(
 
     @F.arrow_udf("n bigint, form string, prefix_chars bigint, middle_chars bigint, output string")
     def cut_batch(texts: pa.Array, h1: pa.Array, h2: pa.Array, h3: pa.Array, h4: pa.Array) -> pa.Array:
-        return cut(texts, [h.to_numpy(zero_copy_only=False) for h in (h1, h2, h3, h4)], fim_percent, spm_percent)
+        return cut_in_parts(texts, [h.to_numpy(zero_copy_only=False) for h in (h1, h2, h3, h4)], fim_percent, spm_percent)
 
     out = docs.withColumn(made, cut_batch.asNondeterministic()(F.coalesce(F.col(text), F.lit("")), *numbers))
     return out.select(*docs.columns, *[F.col(made)[f].alias(names[f]) for f in FIELDS]), names

@@ -72,6 +72,15 @@ def test_slices_and_empty_batches():
     assert len(fim.cut(whole.slice(0, 0), [x[:0] for x in h], 50, 80)) == 0
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 10**6])
+def test_parts_of_a_batch(monkeypatch, size):
+    monkeypatch.setattr(fim, "BYTES_AT_ONCE", size)
+    texts = [t or "" for t in texts_for_test()]
+    h = [np.random.default_rng(i).integers(0, 1 << 32, len(texts)) for i in range(4)]
+    assert fim.cut_in_parts(pa.array(texts), h, 80, 50).equals(fim.cut(pa.array(texts), h, 80, 50))
+    assert len(fim.cut_in_parts(pa.array([], pa.string()), [x[:0] for x in h], 80, 50)) == 0
+
+
 def test_no_rows_and_any_partitioning(spark):
     schema = "doc_id bigint, text string"
     assert fim.transform(spark.createDataFrame([], schema))[0].count() == 0
