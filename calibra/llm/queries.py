@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sizing import scratch_path
-from . import bpe, embedding_dedup, fim, hnsw, language, mixing, ordinal, packing, simhash, substring_dedup, token_spans, warc
+from . import bpe, embedding_dedup, fim, hnsw, language, mixing, ordinal, packing, ranked_search, simhash, substring_dedup, token_spans, warc
 from .shared import store
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -138,6 +138,30 @@ def embedding_groups(t):
     return embedding_dedup.embedding_components(t("embeddings"))
 
 
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@_query(
+    "op11_ranked_search",
+    f"""WITH d AS (SELECT doc_id, {_TERMS} AS terms FROM documents),
+        held AS (SELECT doc_id, terms, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+        total AS (SELECT count(*)::BIGINT AS documents, sum(n)::BIGINT AS length FROM held),
+        tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM held) GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        item AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        weighed AS (SELECT item_id, term, c * floor(1000 * ln((2 * documents + 2) / (2 * df + 1)))::BIGINT AS w
+            FROM item JOIN df USING (term), total),
+        impact AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // length)) AS x
+            FROM tf, total),
+        scored AS (SELECT item_id, doc_id, sum(w * x)::BIGINT AS score FROM weighed JOIN impact USING (term) GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
+)
+def ranked_documents(t):
+    return ranked_search.search(t("documents"), t("benchmark"))
+
+
 @_query("op12_best_fit_packing")
 def best_fit_packing(t):
     """Pieces give up their ids for a checksum before they travel."""
