@@ -29,14 +29,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .chunks import byte_chunks, run_starts
-from .shared import row_key, slices, store
+from .shared import give_back, row_key, slices, store
 
 VOCABULARY = "word_bpe_49k.json"
 ZERO_BITS = 9
 # So many row numbers of 8 bytes may be broadcast.
 BROADCAST_ROWS = 2_000_000
 _BATCH_CHARS, _RUN_BYTES = 1_000_000, 250_000
-_MOST_KNOWN, _LONG, _PIECES_AT_ONCE = 300_000, 64, 1000
+# The table of pieces in a worker: bytes it may take, what an entry takes beside its piece and ids, longest piece kept.
+_KNOWN_BYTES, _ENTRY_BYTES, _LONG, _PIECES_AT_ONCE = 48 << 20, 200, 64, 1000
 _PIECE = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
 
@@ -68,10 +69,30 @@ def splits_at_space(path: str | None = None) -> bool:
     return whole.ids == [i for e in parts for i in e.ids]
 
 
+class _Pieces(dict):
+    """Packed ids of pieces that this worker has encoded, and the bytes they take."""
+
+    size = 0
+
+    def learn(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.update(zip(pieces, ids))
+        self.size += sum(map(len, pieces)) + sum(map(len, ids)) + _ENTRY_BYTES * len(pieces)
+
+    def clear(self) -> None:
+        super().clear()
+        self.size = 0
+
+
 @lru_cache(maxsize=2)
-def _known(path: str | None) -> dict[str, bytes]:
-    """Packed ids of pieces that this worker has encoded."""
-    return {}
+def _known(path: str | None) -> _Pieces:
+    return _Pieces()
+
+
+def _end_of_task(path: str | None) -> None:
+    """The worker lives on, and the next task has other texts."""
+    _known(path).clear()
+    _agreed.cache_clear()
+    give_back()
 
 
 def _encode(texts: list[str], path: str | None) -> list[bytes]:
@@ -128,10 +149,10 @@ def encode_all(texts: list[str], path: str | None = None) -> list[bytes]:
             size += len(texts[at])
             pieces.append(_PIECE.findall(texts[at]))
             at += 1
-        if len(known) > _MOST_KNOWN:
+        if known.size > _KNOWN_BYTES:
             known.clear()
         new = [p for p in dict.fromkeys(chain.from_iterable(pieces)) if p not in known]
-        known.update(zip(new, _encode_pieces(new, path)))
+        known.learn(new, _encode_pieces(new, path))
         out += [b"".join(map(known.__getitem__, p)) for p in pieces]
         for p in new:
             if len(p) > _LONG:
@@ -148,13 +169,21 @@ def chunk_spans(data: bytes, zero_bits: int) -> list[tuple[int, int]]:
     return list(zip(at, at[1:]))
 
 
-@lru_cache(maxsize=100_000)
-def agrees(left: str, right: str, path: str | None) -> bool:
-    """Whether two pieces have the same ids apart and together."""
+def _agree(left: str, right: str, path: str | None) -> bool:
     a, b, both = (e.ids for e in tokenizer(path).encode_batch_fast([left, right, left + right], add_special_tokens=False))
     return a + b == both
 
 
+@lru_cache(maxsize=20_000)
+def _agreed(left: str, right: str, path: str | None) -> bool:
+    return _agree(left, right, path)
+
+
+def agrees(left: str, right: str, path: str | None) -> bool:
+    """Whether two pieces have the same ids apart and together; remembered for short ones."""
+    return (_agreed if len(left) + len(right) <= 2 * _LONG else _agree)(left, right, path)
+
+
 def segments(
     data: bytes, shared: set[bytes], zero_bits: int, path: str | None
 ) -> tuple[list[tuple[bytes | None, int, int]], dict[bytes, tuple[int, int]]]:
@@ -201,8 +230,24 @@ def segments(
     return out, named
 
 
-def _decode(t, ids: bytes) -> str:
-    return t.decode(np.frombuffer(ids, dtype="<u4").tolist(), skip_special_tokens=False)
+@lru_cache(maxsize=2)
+def _token_texts(path: str | None) -> np.ndarray | None:
+    """The text of every id, for a vocabulary without a decoder: there a text is its tokens with blanks between."""
+    t = tokenizer(path)
+    if t.decoder is not None:
+        return None
+    out = np.full(max(t.get_vocab().values()) + 1, "", dtype=object)
+    for token, i in t.get_vocab().items():
+        out[i] = token
+    return out
+
+
+def _decode(ids: bytes, path: str | None) -> str:
+    """What the library's ``decode`` gives with special tokens kept."""
+    texts, numbers = _token_texts(path), np.frombuffer(ids, dtype="<u4")
+    if texts is None:
+        return tokenizer(path).decode(numbers.tolist(), skip_special_tokens=False)
+    return " ".join(texts[numbers].tolist())
 
 
 def encode(
@@ -256,6 +301,7 @@ def encode(
                     names.append(digest)
                     texts.append(data[start:end].decode())
             yield pd.DataFrame({"digest": names, "ids": encode_all(texts, path)})
+        _end_of_task(path)
 
     own = uses.select("k1", "k2", F.expr("transform(filter(u, c -> c.own), c -> c.digest)").alias("owned"))
     cores = sharing.join(own.where(F.size("owned") > 0), ["k1", "k2"]).select("text", "owned")
@@ -267,7 +313,6 @@ def encode(
     got = got.select("k1", "k2", F.col("got.digest").alias("names"), F.col("got.ids").alias("cores"))
 
     def complete(frames):
-        t = tokenizer(path)
         for frame in slices(frames, "text"):
             plan, texts = [], []
             for value, names, ids in zip(frame["text"], frame["names"], frame["cores"]):
@@ -288,9 +333,8 @@ def encode(
             ids = encode_all(texts, path)
             whole = [b"".join(ids[p] if isinstance(p, int) else p for p in parts) for parts in plan]
             out = pd.DataFrame({"key": frame["key"].to_numpy(), "n_tokens": [len(v) // 4 for v in whole], "ids": whole})
-            yield out.assign(decoded=[_decode(t, v) for v in whole]) if decoded else out
-        # The worker lives on; the next task has other texts.
-        _known(path).clear()
+            yield out.assign(decoded=[_decode(v, path) for v in whole]) if decoded else out
+        _end_of_task(path)
 
     schema = "key string, n_tokens bigint, ids binary" + (", decoded string" if decoded else "")
     columns = ["key", "text", "names", "cores"]
@@ -306,7 +350,6 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
 
     @F.pandas_udf("string")
     def text(values: pd.Series) -> pd.Series:
-        t = tokenizer(path)
-        return pd.Series([None if v is None else _decode(t, v) for v in values])
+        return pd.Series([None if v is None else _decode(v, path) for v in values])
 
     return encoded.withColumn("decoded", text.asNondeterministic()(F.col(ids)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.sizing import scratch_path
@@ -42,3 +44,11 @@ def slices(frames: Iterator[pd.DataFrame], column: str, chars: int = 4_000_000)
         part = frame[column].str.len().fillna(0).cumsum().floordiv(chars)
         for _, rows in frame.groupby(part.to_numpy(), sort=False):
             yield rows
+
+
+def give_back() -> None:
+    """Return freed memory of a worker that lives on after its task to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

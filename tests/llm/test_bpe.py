@@ -67,7 +67,7 @@ def test_shared_chunks_are_encoded_once(spark, monkeypatch):
 
 def test_pieces_are_reused_only_where_the_vocabulary_splits_at_space(monkeypatch):
     assert bpe.splits_at_space(None) and bpe.splits_at_space(path("byte_bpe_50k.json"))
-    monkeypatch.setattr(bpe, "_MOST_KNOWN", 5)
+    monkeypatch.setattr(bpe, "_KNOWN_BYTES", 2000)
     monkeypatch.setattr(bpe, "_BATCH_CHARS", 200)
     texts = [passage(i, 40) for i in range(9)] + ["", "y" * 300, passage(3, 40), " ", "\x0b\x0c a\x1f b\u00a0c"]
     for file in (None, path("byte_bpe_50k.json")):
