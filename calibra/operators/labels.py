@@ -77,10 +77,10 @@ def stability(
 
 def consensus(
     df: DataFrame, key: str, features: str, label: str, k: int = 11, include_self: bool = False,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK, search=knn,
 ) -> DataFrame:
-    """``(key, label, predicted, uncertainty)`` by a distance-weighted vote of the neighbours."""
-    near = knn(df, key, features, k, include_self=include_self, payload=[label], rows_per_block=rows_per_block)
+    """``(key, label, predicted, uncertainty)`` by a distance-weighted vote of the neighbours that ``search`` finds."""
+    near = search(df, key, features, k, include_self=include_self, payload=[label], rows_per_block=rows_per_block)
     voted = votes(near, key, label, "distance")
     return df.select(key, label).join(voted, key).select(
         key, label, "predicted", (1 - F.col("confidence")).alias("uncertainty")
@@ -89,7 +89,7 @@ def consensus(
 
 def relabel(
     df: DataFrame, key: str, features: str, label: str, k: int = 11, cap: float = 0.30, include_self: bool = False,
-    rows_per_block: int = ROWS_PER_BLOCK, task_rows: int = TASK_ROWS,
+    rows_per_block: int = ROWS_PER_BLOCK, task_rows: int = TASK_ROWS, search=knn,
 ) -> DataFrame:
     """``(key, label, predicted, uncertainty, relabeled, clean)``.
 
@@ -97,7 +97,7 @@ def relabel(
     neighbours' label, at most ``floor(cap * rows)`` of them.  ``include_self`` lets each row vote
     for itself at distance 0, which leaves nothing to relabel unless rows coincide.
     """
-    judged = cut_lineage(consensus(df, key, features, label, k, include_self, rows_per_block))
+    judged = cut_lineage(consensus(df, key, features, label, k, include_self, rows_per_block, search))
     limit = int(judged.count() * cap)
     apart = judged.where(F.col(label) != F.col("predicted")).withColumn("__u", -F.col("uncertainty"))
     chosen = with_position(apart.select(key, "__u"), ["__u", key], name="__at", task_rows=task_rows)

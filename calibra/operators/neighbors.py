@@ -32,26 +32,32 @@ def _nearest_block(k: int, payload: list[str]):
     """The ``k`` nearest members of the right block for each point of the left block."""
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = {"id": [], "distance": [], "neighbor": [], **{p: [] for p in payload}}
-        if len(left) and len(right):
-            a, b = matrix(left["x"]), matrix(right["x"])
-            sq = sq_distances(a, b)
-            margin = 1e-9 * (np.abs(sq).max() + 1e-300)
-            keep = min(k, len(right))
-            limit = np.partition(sq, keep - 1, axis=1)[:, keep - 1] + margin
-            members = right["members"].to_numpy()
-            for i, own in enumerate(left["id"].to_numpy()):
-                near = np.nonzero(sq[i] <= limit[i])[0]
-                exact = direct_distance(a[i], b[near])
-                found = [(d, m) for d, j in zip(exact, near) for m in members[j]]
-                found.sort(key=lambda e: (e[0], e[1]["key"]))
-                for d, m in found[:k]:
-                    columns["id"].append(own)
-                    columns["distance"].append(d)
-                    columns["neighbor"].append(m["key"])
-                    for p in payload:
-                        columns[p].append(m[p])
-        return pd.DataFrame(columns)
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": [], "distance": [], "neighbor": [], **{p: [] for p in payload}})
+        a, b = matrix(left["x"]), matrix(right["x"])
+        sq = sq_distances(a, b)
+        margin = 1e-9 * (np.abs(sq).max() + 1e-300)
+        keep = min(k, len(right))
+        limit = np.partition(sq, keep - 1, axis=1)[:, keep - 1] + margin
+        i, j = np.nonzero(sq <= limit[:, None])
+        # Every near point stands for its copies; ties go to the smaller key.
+        members = right["members"].to_numpy()
+        size = np.array([len(m) for m in members])
+        start = np.cumsum(size) - size
+        flat = [m for ms in members for m in ms]
+        names, rank = np.unique(np.array([m["key"] for m in flat]), return_inverse=True)
+        times = size[j]
+        at = np.repeat(start[j], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        distance = np.repeat(direct_distance(a[i], b[j]), times)
+        row = np.repeat(i, times)
+        order = np.lexsort((rank[at], distance, row))
+        first = np.searchsorted(row[order], np.arange(len(a)))
+        chosen = order[np.arange(len(order)) - first[row[order]] < k]
+        out = {"id": left["id"].to_numpy()[row[chosen]], "distance": distance[chosen], "neighbor": names[rank[at[chosen]]]}
+        for p in payload:
+            values = [m[p] for m in flat]
+            out[p] = [values[m] for m in at[chosen].tolist()]
+        return pd.DataFrame(out)
 
     return nearest
 
@@ -177,9 +183,13 @@ def knn_classify(
     k: int = 5,
     weights: str = "uniform",
     rows_per_block: int = ROWS_PER_BLOCK,
+    search=knn,
 ) -> DataFrame:
-    """Majority (or distance-weighted) vote of the k nearest training rows."""
-    near = knn(train, key, features, k, queries=test, payload=[label], rows_per_block=rows_per_block)
+    """Majority (or distance-weighted) vote of the k nearest training rows.
+
+    ``search`` finds the neighbours: :func:`knn`, or ``lsh.knn_lsh`` where near ones do for the nearest.
+    """
+    near = search(train, key, features, k, queries=test, payload=[label], rows_per_block=rows_per_block)
     return votes(near, key, label, weights)
 
 
