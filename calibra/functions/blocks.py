@@ -105,10 +105,13 @@ class Blocks:
             return np.ones((len(self.subs), len(other.subs)), dtype=bool)
         return self.gaps(other) <= np.broadcast_to(np.asarray(reach, dtype=float), (len(self.subs),))[:, None]
 
-    def meet(self, other: "Blocks", near: np.ndarray, fn, schema: str, left: DataFrame = None, right: DataFrame = None) -> DataFrame:
+    def meet(
+        self, other: "Blocks", near: np.ndarray, fn, schema: str, left: DataFrame = None, right: DataFrame = None, half: bool = False
+    ) -> DataFrame:
         """Run ``fn(block of self, block of other)`` on the pairs of blocks whose cells are ``near``.
 
-        ``left`` and ``right`` may replace the points by frames that carry other columns.
+        ``left`` and ``right`` may replace the points by frames that carry other columns.  With
+        ``half`` each pair of blocks of one table meets once, the smaller number on the left.
         """
         near = near & (self.subs > 0)[:, None] & (other.subs > 0)[None, :]
         spark = self.points.sparkSession
@@ -134,6 +137,9 @@ class Blocks:
             b = right.join(F.broadcast(cells.drop("__rn")), F.col("cell") == F.col("__rc"))
         a = a.withColumn("__ls", F.col("sub")).withColumn("__rs", sequence("__rn")).drop("__rn", "cell", "sub")
         b = b.withColumn("__rs", F.col("sub")).withColumn("__ls", sequence("__ln")).drop("__ln", "cell", "sub")
+        if half:
+            once = F.struct("__lc", "__ls") <= F.struct("__rc", "__rs")
+            a, b = a.where(once), b.where(once)
         # Both sides may stem from one frame; new column identities keep them apart.
         a, b = (f.select(*[F.col(c).alias(c) for c in f.columns]) for f in (a, b))
         return a.groupBy(*_PAIR).cogroup(b.groupBy(*_PAIR)).applyInPandas(fn, schema)

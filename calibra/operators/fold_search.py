@@ -169,7 +169,10 @@ def search(spark, sums: FoldSums, candidates: list[tuple[str, int, float]]) -> L
         return frame[["candidate", "fold"]].assign(r2=r2(inside, *lines))
 
     each = listed.withColumn("fold", F.explode(F.array(*[F.lit(int(f)) for f in folds])))
-    scored = each.groupBy("fold", "model", "degree").applyInPandas(score, "candidate int, fold int, r2 double")
+    # A number of its own keeps the few rows, and long fits, from being drawn together into one task.
+    groups = len(folds) * len({(m, d) for m, d, _ in candidates})
+    dealt = each.repartition(min(2 * groups, 200), "fold", "model", "degree")
+    scored = dealt.groupBy("fold", "model", "degree").applyInPandas(score, "candidate int, fold int, r2 double")
     # A row for each candidate, and the candidates came from the caller.
     means = scored.groupBy("candidate").agg(F.avg("r2").alias("mean"), F.stddev_pop("r2").alias("std")).collect()
     means = {r["candidate"]: (r["mean"], r["std"]) for r in means}

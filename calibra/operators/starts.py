@@ -52,10 +52,10 @@ class _Grid:
     @classmethod
     def of(cls, points: DataFrame) -> tuple["_Grid", int]:
         row = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.array_max(F.transform("x", F.abs))).alias("m"), F.max(F.size("x")).alias("d")).first()
-        bits = min(36, 57 - max(row["n"], 2).bit_length())
-        largest = row["m"] or 1.0
-        unit = 2.0 ** (bits - math.ceil(math.log2(largest)))
-        return cls(unit, 2.0 ** (bits - math.ceil(math.log2(4 * (row["d"] or 1) * largest * largest)))), row["n"]
+        # Sums of all rows, copies included, fit into 64 bits, and those of a few rows into the 53 of a double.
+        bits, largest = 57 - max(row["n"], 2).bit_length(), row["m"] or 1.0
+        unit = 2.0 ** (min(36, bits) - math.ceil(math.log2(largest)))
+        return cls(unit, 2.0 ** (min(50, bits) - math.ceil(math.log2(4 * (row["d"] or 1) * largest * largest)))), row["n"]
 
 
 def _first_centers(points: DataFrame, seeds: list[int], k: int) -> dict[int, np.ndarray]:
@@ -120,7 +120,7 @@ def _scan(points: DataFrame, runs: list[Run], grid: _Grid, rounds: list[int]) ->
             for a in range(0, len(whole), ROWS_AT_ONCE):
                 q = whole[a : a + ROWS_AT_ONCE]
                 at, sq = _assigned(q / grid.unit, centers_, real_)
-                off = np.rint(sq * grid.square)
+                off = np.rint(sq * grid.square).astype(np.int64)
                 for i, c in enumerate(column):
                     w = np.ones(len(q)) if c < 0 else weights[a : a + ROWS_AT_ONCE, c]
                     member = np.zeros((len(q), k))
@@ -128,7 +128,7 @@ def _scan(points: DataFrame, runs: list[Run], grid: _Grid, rounds: list[int]) ->
                     # Whole numbers below 2^53: exact in any order.
                     sums[i] += (member.T @ q).astype(np.int64)
                     counts[i] += member.sum(axis=0).astype(np.int64)
-                    inertia[i] += int((w * off[:, i]).sum())
+                    inertia[i] += int((w.astype(np.int64) * off[:, i]).sum())
         yield pd.DataFrame({"run": range(len(runs)), "sums": [s.tobytes() for s in sums], "counts": [c.tobytes() for c in counts], "inertia": inertia})
 
     schema = "run int, sums binary, counts binary, inertia bigint"

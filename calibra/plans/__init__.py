@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import cleaning, closed_forms, describing, evaluating, modelling, neighbouring, preparing  # noqa: F401
+from . import cleaning, closed_forms, describing, evaluating, modelling, neighbouring, neighbouring_large, preparing, searching, starting  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
