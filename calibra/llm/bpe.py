@@ -18,6 +18,7 @@ white space crosses; the agreement is checked all the same.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 from functools import lru_cache
@@ -37,7 +38,7 @@ ZERO_BITS = 9
 BROADCAST_ROWS = 2_000_000
 _BATCH_CHARS, _RUN_BYTES = 1_000_000, 250_000
 # The table of pieces in a worker: bytes it may take, what an entry takes beside its piece and ids, longest piece kept.
-_KNOWN_BYTES, _ENTRY_BYTES, _LONG, _PIECES_AT_ONCE = 48 << 20, 200, 64, 1000
+_KNOWN_BYTES, _ENTRY_BYTES, _LONG = 64 << 20, 200, 64
 _PIECE = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
 
@@ -88,9 +89,16 @@ def _known(path: str | None) -> _Pieces:
     return _Pieces()
 
 
+@lru_cache(maxsize=2)
+def _known_words(path: str | None) -> _Pieces:
+    """The same for the words of pieces, which other pieces share."""
+    return _Pieces()
+
+
 def _end_of_task(path: str | None) -> None:
     """The worker lives on, and the next task has other texts."""
     _known(path).clear()
+    _known_words(path).clear()
     give_back()
 
 
@@ -108,28 +116,65 @@ def _encode(texts: list[str], path: str | None) -> list[bytes]:
     return found
 
 
+# The steps of a vocabulary that lowers text and drops white space, and what its pattern cuts
+# out of a lower-case piece of printable ASCII.
+_LOWERING = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_BLANK = " \t\n\x0b\x0c\r"
+
+
 @lru_cache(maxsize=2)
-def _separator(path: str | None) -> tuple[str, int] | None:
-    """A special token that cuts a text wherever it stands, and its id."""
-    found = tokenizer(path).get_added_tokens_decoder().items()
-    return next(((a.content, i) for i, a in found if a.special and not (a.normalized or a.lstrip or a.rstrip or a.single_word)), None)
+def _lowers(path: str | None) -> bool:
+    """Whether the tokenizer of a file has just the steps that ``_ASCII_WORDS`` stands for."""
+    spec = json.loads(tokenizer(path).to_str())
+    first, second = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    steps = first.get("normalizers", [])
+    cuts = second.get("pretokenizers", [])
+    return (
+        [n["type"] for n in steps] == _LOWERING
+        and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and (cuts[0]["pattern"], cuts[0]["behavior"], cuts[0]["invert"]) == ({"Regex": _PATTERN}, "Removed", True)
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+    )
+
+
+def _words_of(pieces: list[str], t, lowers: bool) -> list[list[str]]:
+    """What the tokenizer's model is given for each piece, by its own steps or the same in short."""
+    normal = t.normalizer.normalize_str if t.normalizer is not None else str
+    cut = t.pre_tokenizer.pre_tokenize_str if t.pre_tokenizer is not None else lambda p: [(p, None)]
+    out = []
+    for piece in pieces:
+        bare = piece.strip(_BLANK)
+        if lowers and bare.isascii() and bare.isprintable():
+            out.append(_ASCII_WORDS.findall(bare.lower()))
+        else:
+            out.append([w for w, _ in cut(normal(piece))])
+    return out
 
 
 def _encode_pieces(pieces: list[str], path: str | None) -> list[bytes]:
-    """Packed ids of short pieces: many go into one text, with a special token between them."""
-    cut = _separator(path)
-    if cut is None or any(cut[0] in p for p in pieces):
-        return _encode(pieces, path)
-    groups = [pieces[i : i + _PIECES_AT_ONCE] for i in range(0, len(pieces), _PIECES_AT_ONCE)]
-    out = []
-    for group, data in zip(groups, _encode([cut[0].join(g) for g in groups], path)):
-        ids = np.frombuffer(data, dtype="<u4")
-        at = np.flatnonzero(ids == cut[1])
-        if len(at) != len(group) - 1:
-            out += _encode(group, path)
-            continue
-        starts, ends = np.append(0, at + 1) * 4, np.append(at, len(ids)) * 4
-        out += [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    """Packed ids of short pieces: each word in them goes through the model once.
+
+    Pieces that hold an added token, which is cut out before any other step, are left to the library.
+    """
+    t, known = tokenizer(path), _known_words(path)
+    text, added = "\n".join(pieces), [a.content for a in t.get_added_tokens_decoder().values()]
+    if any(a in text for a in added):
+        apart = [any(a in p for a in added) for p in pieces]
+        rest = iter(_encode_pieces([p for p, x in zip(pieces, apart) if not x], path))
+        whole = iter(_encode([p for p, x in zip(pieces, apart) if x], path))
+        return [next(whole if x else rest) for x in apart]
+    if known.size > _KNOWN_BYTES:
+        known.clear()
+    words, tokenize = _words_of(pieces, t, _lowers(path)), t.model.tokenize
+    new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in known]
+    known.learn(new, [np.array([k.id for k in tokenize(w)], dtype="<u4").tobytes() for w in new])
+    out = [b"".join(map(known.__getitem__, w)) for w in words]
+    for w in new:
+        if len(w) > _LONG:
+            del known[w]
     return out
 
 

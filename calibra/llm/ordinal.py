@@ -93,16 +93,17 @@ def fit(rows: list, grades: np.ndarray, n_grades: int, steps: int = STEPS, rate:
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade",
     max_train: int = MAX_TRAIN, steps: int = STEPS,
-) -> tuple[np.ndarray, np.ndarray]:
+) -> tuple[np.ndarray, np.ndarray] | None:
     """Weights and thresholds from ``labels (key, grade)``, grades from 0.
 
     About ``max_train`` labelled rows, drawn by hash, are fitted in one task; labels without key or
-    grade do not count.  Without two different grades there is nothing to fit and training fails.
+    grade do not count, and a label counts as often as rows repeat it.  Without documents of two different
+    grades there is nothing to fit and no model: None.
     """
     labels = labels.select(F.col(key).alias("k"), F.col(grade).cast("int").alias("grade")).where("k is not null and grade >= 0")
     stats = labels.agg(F.count(F.lit(1)).alias("n"), F.max("grade").alias("top"), F.min("grade").alias("low")).first()
     if not stats["n"] or stats["top"] == stats["low"]:
-        raise ValueError("training needs at least two different grades")
+        return None
     n_grades = stats["top"] + 1
     part = int(min(1.0, max_train / stats["n"]) * 1_000_000)
     # About max_train rows, whatever the data.
@@ -127,19 +128,23 @@ def train(
     encoded = rows.mapInPandas(encode, "b binary, v binary, grade int")
     model = encoded.repartition(1).mapInPandas(learn, "w binary, cuts binary").collect()
     if not model:
-        raise ValueError("training needs documents of at least two different grades")
+        return None
     return np.frombuffer(model[0]["w"], dtype=np.float32), np.frombuffer(model[0]["cuts"])
 
 
-def grade(docs: DataFrame, model: tuple, text: str = "text", tail: int | None = None, least: float = 0.5) -> tuple[DataFrame, dict[str, str]]:
+def grade(docs: DataFrame, model: tuple | None, text: str = "text", tail: int | None = None, least: float = 0.5) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with expected_grade, p_tail and selected, and the names these columns got.
 
     ``p_tail`` is the probability of at least grade ``tail`` (the highest by default), and a row is
-    selected from ``least`` on.  Null and empty texts, and texts of unknown tokens, have score zero.
+    selected from ``least`` on, ties included.  Null and empty texts, and texts of unknown tokens, have
+    score zero.  Without a model grade and probability are null and nothing is selected.
     """
+    names = dict(zip(("expected_grade", "p_tail", "selected"), fresh(docs, "expected_grade", "p_tail", "selected")))
+    if model is None:
+        none = F.lit(None).cast("double")
+        return docs.withColumns(dict(zip(names.values(), (none, none, F.lit(False))))), names
     weights, cuts = model
     at = (len(cuts) if tail is None else tail) - 1
-    names = dict(zip(("expected_grade", "p_tail", "selected"), fresh(docs, "expected_grade", "p_tail", "selected")))
     column, = fresh(docs, "__p")
 
     @F.pandas_udf("array<double>")

@@ -73,7 +73,9 @@ def write_warc(
     """Write one record per row of ``pages``: a response with its payload, or a revisit without.
 
     A missing payload is empty, a missing url or key leaves its header out.  Line breaks in a url
-    become spaces, so no value can end a header.  ``date`` is the date of all records.
+    become spaces, so no value can end a header.  ``date`` is the date of all records.  Rows that repeat
+    are records of their own, as :func:`resolve` tells them apart; a payload of any length is one
+    record; no rows leave a folder without archives.
     """
     rows = pages.select(
         F.col(key).alias("id"),

@@ -99,8 +99,11 @@ def test_grading_odd_rows_and_no_grades(spark):
     got = {r["doc_id"]: r["expected_grade"] for r in out.collect()}
     assert got[1] > got[3] == got[4] > got[2] and len(got) == 5
     assert ordinal.grade(docs.limit(0), model)[0].count() == 0
-    with pytest.raises(ValueError, match="two different grades"):
-        ordinal.train(docs, labels.where("doc_id = 1"))
+    for few in (labels.where("doc_id = 1"), labels.limit(0), labels.withColumn("doc_id", F.col("doc_id") + 100)):
+        assert ordinal.train(docs, few) is None
+    assert ordinal.train(docs.limit(0), labels) is None
+    out, names = ordinal.grade(docs, None)
+    assert {tuple(r) for r in out.select(*names.values()).collect()} == {(None, None, False)} and out.count() == docs.count()
 
 
 # --- tokens of sections --------------------------------------------------------------------
