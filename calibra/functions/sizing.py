@@ -26,12 +26,17 @@ def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int =
     stays a shuffle join (adaptive execution splits hot keys).  Where values have no fixed width,
     their bytes are added up by the executors first, and nothing is fetched above ``max_bytes``.
     """
-    wide = [f.name for f in df.schema if not isinstance(f.dataType, _FIXED)]
+    wide, first = [f.name for f in df.schema if not isinstance(f.dataType, _FIXED)], df.limit(max_rows + 1)
     if wide:
-        held = df.limit(max_rows + 1).agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))).cast("bigint"))).first()[0]
+        # Kept by the executors between the two looks at it.
+        first = first.persist()
+        held = first.agg(F.sum(F.octet_length(F.to_json(F.struct(*wide))).cast("bigint"))).first()[0]
         if (held or 0) > max_bytes:
+            first.unpersist()
             return df
-    rows = df.limit(max_rows + 1).collect()
+    rows = first.collect()
+    if wide:
+        first.unpersist()
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

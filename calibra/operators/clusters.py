@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.blocks import ROWS_PER_BLOCK, Blocks, as_points, collapse
-from ..functions.sizing import cut_lineage
+from ..functions.sizing import bounded_rows, cut_lineage
 from ..functions.vectors import element_means, matrix, nearest_center, sq_distances
 from .neighbors import silhouettes
 from .splits import ticket
@@ -19,6 +19,8 @@ from .splits import ticket
 # Fixed values of the subtractive method: acceptance and rejection shares, the centre limit, the
 # radius of a bump, and its factor where a chosen centre lowers the potentials.
 ACCEPT, REJECT, MAX_CENTERS, RADIUS, LOWERING = 0.5, 0.15, 26, 1.5, 1.5
+# Micro-clusters whose matrix of distances one machine merges (200 MB).
+MAX_MICRO = 5000
 
 
 def _vectors(df: DataFrame, key: str, features: str) -> DataFrame:
@@ -148,6 +150,8 @@ def fuzzy_cmeans(
     squares); a warning says that ``max_iter`` came first.  The first centers are ``c`` rows in
     seeded order.
     """
+    # Every round reads the points again, so they are written once.
+    df = cut_lineage(df.select(key, features))
     x = F.col(features).cast("array<double>").alias("x")
     # Center sized, read once: c rows.
     centers = np.array([r["x"] for r in df.select(x, key).orderBy(ticket(key, seed)).limit(c).collect()])
@@ -268,10 +272,10 @@ def micro_clusters(df: DataFrame, key: str, features: str, m: int, seed: int, ma
     return cut_lineage(points.join(assigned.withColumnRenamed("cluster", "micro"), key))
 
 
-def _micro_distances(micro: DataFrame, key: str, linkage: str, rows_per_block: int):
-    """Sizes and the exact linkage distances between micro-clusters, as small matrices."""
+def _micro_distances(micro: DataFrame, key: str, linkage: str, rows_per_block: int, max_micro: int = MAX_MICRO):
+    """Sizes and the exact linkage distances between micro-clusters, as small matrices; too many fail loudly."""
     size = len(micro.select("x").first()[0])
-    stats = sorted(element_means(micro, ["micro"], "x", size).collect(), key=lambda r: r["micro"])
+    stats = sorted(bounded_rows(element_means(micro, ["micro"], "x", size), max_micro, "micro-clusters"), key=lambda r: r["micro"])
     names = [r["micro"] for r in stats]
     n = np.array([r["n"] for r in stats], dtype=float)
     if linkage == "ward":
@@ -307,36 +311,56 @@ def _micro_distances(micro: DataFrame, key: str, linkage: str, rows_per_block: i
 
 
 def _merge(n: np.ndarray, dist: np.ndarray, linkage: str) -> list[tuple[int, int, float, int]]:
-    """Merge the two nearest groups until one is left: ``(left, right, distance, size)`` per step."""
-    n, dist = list(n), dist.astype(float).copy()
+    """Merge the two nearest groups until one is left: ``(left, right, distance, size)`` per step.
+
+    Every group remembers its nearest one of higher number, so a step looks at one row and at the
+    groups that lose their nearest: quadratic in all.  Of equal distances the first pair is merged.
+    """
+    n, dist = n.astype(float).copy(), dist.astype(float).copy()
+    count, ids, steps = len(n), list(range(len(n))), []
     np.fill_diagonal(dist, np.inf)
-    alive, ids, steps = list(range(len(n))), list(range(len(n))), []
-    while len(alive) > 1:
-        sub = dist[np.ix_(alive, alive)]
-        i, j = sorted(np.unravel_index(sub.argmin(), sub.shape))
-        a, b = alive[i], alive[j]
+    after = np.arange(count)[None, :] > np.arange(count)[:, None]
+    near = np.where(after, dist, np.inf).argmin(axis=1) if count else np.empty(0, dtype=int)
+    least = np.where(after[np.arange(count), near], dist[np.arange(count), near], np.inf) if count else np.empty(0)
+    alive = np.ones(count, dtype=bool)
+
+    def look(i):
+        row = dist[i, i + 1 :]
+        near[i] = i + 1 + int(row.argmin()) if len(row) else i
+        least[i] = row.min(initial=np.inf)
+
+    for _ in range(count - 1):
+        a = int(least.argmin())
+        b = int(near[a])
         d = dist[a, b]
         steps.append((min(ids[a], ids[b]), max(ids[a], ids[b]), float(d), int(n[a] + n[b])))
-        for c in alive:
-            if c in (a, b):
-                continue
-            if linkage == "ward":
-                total = n[a] + n[b] + n[c]
-                new = np.sqrt(((n[a] + n[c]) * dist[a, c] ** 2 + (n[b] + n[c]) * dist[b, c] ** 2 - n[c] * d * d) / total)
-            elif linkage == "average":
-                new = (n[a] * dist[a, c] + n[b] * dist[b, c]) / (n[a] + n[b])
-            else:
-                new = max(dist[a, c], dist[b, c])
-            dist[a, c] = dist[c, a] = new
+        others = alive.copy()
+        others[[a, b]] = False
+        if linkage == "ward":
+            total = n[a] + n[b] + n
+            new = np.sqrt(np.maximum(((n[a] + n) * dist[a] ** 2 + (n[b] + n) * dist[b] ** 2 - n * d * d) / total, 0.0))
+        elif linkage == "average":
+            new = (n[a] * dist[a] + n[b] * dist[b]) / (n[a] + n[b])
+        else:
+            new = np.maximum(dist[a], dist[b])
+        dist[a, others] = dist[others, a] = new[others]
+        dist[b, :] = dist[:, b] = np.inf
+        alive[b], least[b] = False, np.inf
         n[a] += n[b]
-        ids[a] = len(n) + len(steps) - 1
-        alive.remove(b)
+        ids[a] = count + len(steps) - 1
+        lost = alive & ((near == a) | (near == b)) & (np.arange(count) < b)
+        for i in {a, *np.flatnonzero(lost).tolist()}:
+            look(i)
+        closer = alive & (np.arange(count) < a) & ((dist[:, a] < least) | ((dist[:, a] == least) & (a < near)))
+        near[closer], least[closer] = a, dist[closer, a]
     return steps
 
 
-def merge_table(micro: DataFrame, key: str, linkage: str = "ward", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """``(step, left, right, distance, size)``: the merges behind a dendrogram of the micro-clusters."""
-    _, n, dist = _micro_distances(micro, key, linkage, rows_per_block)
+def merge_table(
+    micro: DataFrame, key: str, linkage: str = "ward", rows_per_block: int = ROWS_PER_BLOCK, max_micro: int = MAX_MICRO
+) -> DataFrame:
+    """``(step, left, right, distance, size)``: the merges behind a dendrogram of at most ``max_micro`` micro-clusters."""
+    _, n, dist = _micro_distances(micro, key, linkage, rows_per_block, max_micro)
     rows = [(i + 1, *step) for i, step in enumerate(_merge(n, dist, linkage))]
     return micro.sparkSession.createDataFrame(rows, "step int, left int, right int, distance double, size bigint")
 
@@ -351,18 +375,34 @@ def micro_agglomerative(
     from sizes and means, average and complete ones from exact pair sums and maxima, so every
     linkage is exact given the micro-clusters, and exact altogether when ``m`` equals the rows.
     """
+    scores, assigned = best_linkage(df, key, features, [linkage], ks, m, seed, rows_per_block)
+    return scores.select("k", "silhouette"), assigned
+
+
+def best_linkage(
+    df: DataFrame, key: str, features: str, linkages: list[str], ks: list[int], m: int, seed: int,
+    rows_per_block: int = ROWS_PER_BLOCK, max_micro: int = MAX_MICRO,
+):
+    """``(scores, assignment)`` of the best linkage and number of clusters by silhouette, from one set of micro-clusters.
+
+    ``scores`` is ``(linkage, k, silhouette, chosen)``; all cuts of all merges are scored in one sweep.
+    Of equal scores the first linkage and the fewest clusters win.
+    """
     micro = micro_clusters(df, key, features, m, seed)
-    names, n, dist = _micro_distances(micro, key, linkage, rows_per_block)
-    steps = _merge(n, dist, linkage)
-    wide = micro
-    for k in ks:
-        groups = _cut(len(names), steps, k)
-        table = F.create_map(*[F.lit(v) for i, name in enumerate(names) for v in (name, groups[i])])
-        wide = wide.withColumn(f"k{k}", table[F.col("micro")])
-    scored = silhouettes(wide, key, "x", [f"k{k}" for k in ks], rows_per_block)
-    scores = cut_lineage(scored.select(F.substring("labeling", 2, 10).cast("int").alias("k"), "silhouette"))
-    best = scores.orderBy(F.desc_nulls_last("silhouette"), "k").first()["k"]
-    return scores, wide.select(key, F.col(f"k{best}").alias("cluster"))
+    wide, cuts = micro, [(linkage, k) for linkage in linkages for k in ks]
+    for i, linkage in enumerate(linkages):
+        names, n, dist = _micro_distances(micro, key, linkage, rows_per_block, max_micro)
+        steps = _merge(n, dist, linkage)
+        for j, k in enumerate(ks):
+            groups = _cut(len(names), steps, k)
+            table = F.create_map(*[F.lit(v) for at, name in enumerate(names) for v in (name, groups[at])])
+            wide = wide.withColumn(f"c{i * len(ks) + j}", table[F.col("micro")])
+    scored = silhouettes(wide, key, "x", [f"c{i}" for i in range(len(cuts))], rows_per_block)
+    scored = {int(r["labeling"][1:]): r["silhouette"] for r in scored.collect()}  # a row for each cut
+    best = min(range(len(cuts)), key=lambda i: (scored[i] is None, -round(scored[i] or 0.0, 9), linkages.index(cuts[i][0]), cuts[i][1]))
+    rows = [(*cut, scored[i], i == best) for i, cut in enumerate(cuts)]
+    scores = wide.sparkSession.createDataFrame(rows, "linkage string, k int, silhouette double, chosen boolean")
+    return scores, wide.select(key, F.col(f"c{best}").alias("cluster"))
 
 
 def _cut(count: int, steps, k: int) -> list[int]:

@@ -142,6 +142,31 @@ def ward_heights(t):
     return C.round_cols(out, ["half_squares"], 6)
 
 
+@query(
+    "ward_heights_customers",
+    """WITH p AS (SELECT c_nationkey * 5 + ascii(c_mktsegment) % 5 AS micro, c_acctbal / 1000 AS x, c_nationkey::DOUBLE AS y FROM customer),
+        g AS (SELECT count(*) AS n, avg(x) AS x, avg(y) AS y FROM p GROUP BY micro)
+        SELECT (SELECT count(*) FROM g) - 1 AS merges, (SELECT count(*) FROM p) AS size,
+            round((SELECT sum(n * ((g.x - m.x)**2 + (g.y - m.y)**2)) FROM g, (SELECT avg(x) AS x, avg(y) AS y FROM p) m), 4) AS half_squares""",
+)
+def ward_heights_customers(t):
+    """Micro-clusters by nation and segment: half the squared Ward heights add up to the sum of squares between them."""
+    micro = (F.col("c_nationkey") * 5 + F.ascii("c_mktsegment") % 5).cast("int").alias("micro")
+    x = F.array(F.col("c_acctbal") / 1000, F.col("c_nationkey").cast("double")).alias("x")
+    merges = K.merge_table(t("customer").select("c_custkey", x, micro), "c_custkey", "ward")
+    out = merges.agg(
+        F.count(F.lit(1)).alias("merges"), F.max("size").alias("size"), (F.sum(F.col("distance") * F.col("distance")) / 2).alias("half_squares")
+    )
+    return C.round_cols(out, ["half_squares"], 4)
+
+
+@query("best_linkage_separated", _GROUPS)
+def best_linkage_separated(t):
+    """Three linkages and two to eight groups: the groups win."""
+    _, assigned = K.best_linkage(_points(t), "c_custkey", "x", ["ward", "average", "complete"], list(range(2, 9)), m=48, seed=42)
+    return _found(t, assigned)
+
+
 # --- models -----------------------------------------------------------------------------
 
 

@@ -247,6 +247,34 @@ def test_micro_agglomerative(points):
         assert assigned.select("cluster").distinct().count() == best
 
 
+def test_best_linkage_is_the_best_of_each(points):
+    scores, assigned = clusters.best_linkage(points, "id", "v", ["ward", "average", "complete"], [2, 3, 4], 24, 7, rows_per_block=ROWS)
+    rows = scores.collect()
+    assert len(rows) == 9 and [r["silhouette"] for r in rows if r["chosen"]] == [max(r["silhouette"] for r in rows)]
+    assert assigned.select("cluster").distinct().count() == next(r["k"] for r in rows if r["chosen"])
+    one, _ = clusters.micro_agglomerative(points, "id", "v", "average", [2, 3, 4], 24, 7, rows_per_block=ROWS)
+    alone = {r["k"]: r["silhouette"] for r in one.collect()}
+    assert {r["k"]: r["silhouette"] for r in rows if r["linkage"] == "average"} == pytest.approx(alone)
+
+
+def test_too_many_micro_clusters_fail_loudly(points):
+    with pytest.raises(ValueError, match="micro-clusters"):
+        clusters.merge_table(points.withColumn("micro", F.col("id").cast("int")).withColumnRenamed("v", "x"), "id", max_micro=50)
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average", "complete"])
+def test_merges_with_equal_distances(linkage):
+    """Whole numbers: always the first of the nearest pairs, as a plain search over all pairs finds it."""
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        x, n = rng.integers(0, 6, (15, 2)).astype(float), np.ones(15)
+        dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+        heights = [s[2] for s in clusters._merge(n, dist, linkage)]
+        assert heights == pytest.approx(sorted(heights)) and len(heights) == 14
+        if linkage == "ward":
+            assert sum(h * h for h in heights) == pytest.approx(((x - x.mean(axis=0)) ** 2).sum())
+
+
 def test_elbow_inertia_falls(points):
     table = clusters.elbow(points, "id", "v", [1, 2, 3, 4], [1, 2, 3], rows_per_block=ROWS).orderBy("k").collect()
     costs = [r["inertia"] for r in table]

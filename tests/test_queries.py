@@ -7,8 +7,9 @@ from oracle import connect, differences
 import __spark_entry__ as entry
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# Model fits and searches are many small jobs; these run in the tool over all queries.
+# Model fits and searches are many small jobs; these run in the tool over all queries, and their operators in tests of their own.
 SLOW = {"best_of_two_searches", "kernel_svm", "label_version_comparison", "cross_validation", "grid_search", "elbow", "fuzzy_select"}
+SLOW |= {"hierarchy_sweep", "stability_rounds", "elbow_range", "fold_search_degrees"}
 
 
 @pytest.fixture(scope="module")
