@@ -23,6 +23,8 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
+# Bytes of kernel features that one task reads in a pass.
+TASK_BYTES = 64 << 20
 # Spark's deepest tree, used where no depth limit is asked for.
 DEEPEST = 30
 
@@ -134,7 +136,12 @@ class KernelSVM(Estimator):
             SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"),
             VectorAssembler(inputCols=[f"__k{i}" for i in range(width)], outputCol="__kernel"),
         ])
-        mapped = kernel.transform(dataset).select("__kernel", self.label).persist()
+        # A table in one piece would be one task with all features; the rows are spread while they are narrow.
+        parts = -(-dataset.count() * (width + 2) * 8 // TASK_BYTES)
+        narrow = dataset.select(*self.cols, self.label)
+        if narrow.rdd.getNumPartitions() < parts:
+            narrow = narrow.repartition(parts)
+        mapped = kernel.transform(narrow).select("__kernel", self.label).persist()
         size = mapped.agg(F.count(F.lit(1)).alias("n"), F.max(self.label).alias("last")).first()
         machine = LinearSVC(
             regParam=1.0 / (C * size["n"]), tol=1e-3, featuresCol="__kernel", labelCol=self.label, predictionCol="__class"

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from calibra.functions import blocks as B
-from calibra.operators import density, hierarchy, neighbors
+from calibra.operators import density, hierarchy, models, neighbors
 
 
 def frame(spark, x, labels=None):
@@ -64,3 +64,13 @@ def test_sparse_groups_as_dense():
             other = np.where(mask, want[:, None], rows).min(axis=0)
             want = np.minimum(want, np.where(mask, other[None, :], rows).min(axis=1))
         assert (left == np.where(want == rows, -1, want)).all() and (right == np.where(other == rows, -1, other)).all()
+
+
+def test_kernel_features_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(models, "TASK_BYTES", 4000)
+    df = spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(200)], "x double, label double").coalesce(1)
+    spread = []
+    plain = models.LinearSVC._fit
+    monkeypatch.setattr(models.LinearSVC, "_fit", lambda self, d: (spread.append(d.rdd.getNumPartitions()), plain(self, d))[1])
+    out = models.score(models.KernelSVM(["x"], "label", gamma=1.0, width=10).fit(df), df, ["x"])
+    assert out.where("x <> prediction").isEmpty() and spread[0] >= 4
