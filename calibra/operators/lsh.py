@@ -20,9 +20,13 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.blocks import ROWS_PER_BLOCK, as_points, collapse, spread
 from ..functions.sizing import cut_lineage
 from ..functions.vectors import matrix
-from .neighbors import _first_members, _nearest_block, _type
+from .neighbors import _first_members, _k_nearest, _nearest_block, _type
 
 TABLES, PROJECTIONS, PROBES, SEED = 8, 4, 6, 7
+# Distinct points of the sample to which the intervals are fitted, and how much fuller than asked a point's box may be by it.
+FITTED, CROWDED = 8192, 3
+# Points on either side of a box that meet in one task, block by block.
+TASK_POINTS = 16_384
 
 
 @dataclass
@@ -47,7 +51,8 @@ class Boxes:
         spread_ = np.sqrt(np.maximum(second / max(total, 1) - (first / max(total, 1)) ** 2, 0.0))
         # Most of a projection lies within two deviations of its mean.
         parts = max((total / rows_per_box) ** (1.0 / projections), 1e-3)
-        return cls(directions, np.where(spread_ > 0, 4.0 * spread_ / parts, 1.0), shifts, probes)
+        widths = np.where(spread_ > 0, 4.0 * spread_ / parts, 1.0)
+        return cls(directions, widths / _finer(distinct, directions, widths, shifts, total, rows_per_box)[:, None], shifts, probes)
 
     def keys(self, x: np.ndarray, probing: bool) -> np.ndarray:
         """Box numbers by row, table and probe; the first probe is the own box."""
@@ -70,6 +75,27 @@ class Boxes:
         return np.concatenate([own[:, :, None], own[:, :, None] + moves[best]], axis=2)
 
 
+def _finer(distinct: DataFrame, directions: np.ndarray, widths: np.ndarray, shifts: np.ndarray, total: int, rows_per_box: int) -> np.ndarray:
+    """Factor by which the intervals of each table have to shrink.
+
+    Points along few directions, or in lumps, fill fewer boxes than intervals of all projections make.  How many
+    points share the box of one is estimated from the pairs of a sample, by hash order.
+    """
+    factors = np.ones(widths.shape[0])
+    if total <= CROWDED * rows_per_box:
+        return factors
+    x = np.array([r["x"] for r in distinct.select("x").orderBy(F.xxhash64("x"), "x").limit(FITTED).collect()], dtype=np.float64)
+    at = np.einsum("nd,dtp->tnp", x, directions, optimize=True)
+    for t in range(len(factors)):
+        while factors[t] < 2.0**40:
+            boxes = np.floor(at[t] * factors[t] / widths[t] + shifts[t])
+            n = np.unique(boxes, axis=0, return_counts=True)[1]
+            if total * (n * (n - 1.0)).sum() / (len(x) * (len(x) - 1.0)) <= CROWDED * rows_per_box:
+                break
+            factors[t] *= 1.5
+    return factors
+
+
 def _projected_moments(distinct: DataFrame, directions: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     """Rows, sums and sums of squares of every projection."""
     tables, projections = directions.shape[1:]
@@ -90,6 +116,20 @@ def _projected_moments(distinct: DataFrame, directions: np.ndarray) -> tuple[int
     return rows[0]["n"], *(np.array([r[c] for r in rows]).reshape(tables, projections) for c in ("a", "b"))
 
 
+def _in_blocks(step, merge):
+    """``step`` on the blocks of two groups of points, a matrix of distances at a time."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for a in range(0, len(left), ROWS_PER_BLOCK):
+            block = left.iloc[a : a + ROWS_PER_BLOCK]
+            found = [step(block, right.iloc[b : b + ROWS_PER_BLOCK]) for b in range(0, len(right), ROWS_PER_BLOCK)]
+            out += [merge(pd.concat(found, ignore_index=True))] if len(found) > 1 else found
+        return pd.concat(out, ignore_index=True) if out else step(left, right)
+
+    return run
+
+
 def knn_lsh(
     df: DataFrame,
     key: str,
@@ -114,7 +154,7 @@ def knn_lsh(
     payload = list(payload)
     points = as_points(df, key, features, payload)
     wanted = k + 1
-    distinct = cut_lineage(collapse(points, key).join(_first_members(points, key, payload, wanted), "x"))
+    distinct = cut_lineage(collapse(points, key).join(_first_members(points, key, payload, wanted, once=True), "x"))
     boxes = Boxes.of(distinct, tables, projections, probes, rows_per_block, width, seed)
     asked = points if queries is None else as_points(queries, key, features)
     asking = distinct.select("id", "x") if queries is None else cut_lineage(collapse(asked, key)).select("id", "x")
@@ -129,7 +169,7 @@ def knn_lsh(
         return each.withColumn("box", F.explode("__b")).drop("__b")
 
     def parts(frame, name):
-        return frame.groupBy("t", "box").agg(F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias(name))
+        return frame.groupBy("t", "box").agg(F.ceil(F.count(F.lit(1)) / max(TASK_POINTS, rows_per_block)).cast("int").alias(name))
 
     left, right = boxed(asking, True), boxed(distinct.drop("w"), False)
     # Boxes that hold points and are asked for, with the blocks on either side.
@@ -144,7 +184,7 @@ def knn_lsh(
     schema = f"id {_type(points, key)}, distance double, neighbor {_type(points, key)}"
     schema += "".join(f", `{p}` {_type(points, p)}" for p in payload)
     meet = ["t", "box", "ls", "rs"]
-    found = a.groupBy(*meet).cogroup(b.groupBy(*meet)).applyInPandas(_nearest_block(wanted, payload), schema)
+    found = a.groupBy(*meet).cogroup(b.groupBy(*meet)).applyInPandas(_in_blocks(_nearest_block(wanted, payload), _k_nearest(wanted)), schema)
     # The same neighbour may be found in several tables.
     near = found.groupBy("id").agg(F.slice(F.sort_array(F.collect_set(F.struct("distance", "neighbor", *payload))), 1, wanted).alias("near"))
     own = asking.join(near, "id", "left")

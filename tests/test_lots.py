@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from calibra.functions import blocks as B
-from calibra.operators import density, hierarchy, models, neighbors
+from calibra.operators import density, hierarchy, lsh, models, neighbors
 
 
 def frame(spark, x, labels=None):
@@ -66,6 +66,24 @@ def test_sparse_groups_as_dense():
         assert (left == np.where(want == rows, -1, want)).all() and (right == np.where(other == rows, -1, other)).all()
 
 
+def test_boxes_of_points_on_a_line_stay_small(spark):
+    x = np.array([[float(i), 0.0] for i in range(3000)])
+    df = frame(spark, x)
+    boxes = lsh.Boxes.of(df, 4, 4, 2, 20, None, 7)
+    keys = boxes.keys(x, False)[:, :, 0]
+    for t in range(4):
+        assert np.bincount(np.unique(keys[:, t], return_inverse=True)[1]).max() < 20 * 8
+    found = lsh.knn_lsh(df, "id", "x", 2, rows_per_block=20)
+    assert found.count() == 6000 and found.agg(F.max("distance")).first()[0] <= 2.0
+
+
+def test_rows_there_twice_take_no_places(spark):
+    """Copies of rows, keys included, do not push other neighbours out."""
+    x = np.array([[float(i), 0.0] for i in range(40)])
+    found = lsh.knn_lsh(frame(spark, x).union(frame(spark, x)), "id", "x", 3, rows_per_block=256)
+    assert found.where("id between 3 and 36").agg(F.max("distance")).first()[0] == 2.0
+
+
 def test_kernel_features_are_spread(spark, monkeypatch):
     monkeypatch.setattr(models, "TASK_BYTES", 4000)
     df = spark.createDataFrame([(float(i % 2), float(i % 2)) for i in range(200)], "x double, label double").coalesce(1)
