@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from calibra.functions import blocks as B
-from calibra.operators import density, hierarchy, lsh, models, neighbors
+from calibra.operators import density, hierarchy, lsh, models, neighbors, sampled
 
 
 def frame(spark, x, labels=None):
@@ -66,6 +66,16 @@ def test_sparse_groups_as_dense():
         assert (left == np.where(want == rows, -1, want)).all() and (right == np.where(other == rows, -1, other)).all()
 
 
+def test_sample_too_large_for_the_driver(spark):
+    rng = np.random.default_rng(4)
+    x, label = np.round(rng.normal(size=(120, 3)), 3), rng.integers(0, 3, 120)
+    df = frame(spark, x, label)
+    row = sampled.silhouette_sampled(df, "id", "x", "label", per_cluster=None, rows_per_block=25).first()
+    assert (row["points"], row["sampled"], row["error"]) == (120, 120, 0.0) and row["silhouette"] == pytest.approx(brute(x, label).mean(), abs=1e-9)
+    large, small = (sampled.silhouette_sampled(df, "id", "x", "label", 15, max_sample=m, rows_per_block=25).first() for m in (20, 1000))
+    assert tuple(large) == pytest.approx(tuple(small))
+
+
 def test_boxes_of_points_on_a_line_stay_small(spark):
     x = np.array([[float(i), 0.0] for i in range(3000)])
     df = frame(spark, x)
