@@ -1,9 +1,12 @@
 """Spanning tree, hierarchy and outlier scores against plain versions on all pairs."""
 
+import re
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from calibra.operators import hierarchy as H
+from calibra.operators import density, hierarchy as H
 
 
 def sample(seed, copies=12):
@@ -204,3 +207,25 @@ def test_few_points(spark):
     assert H.density_hierarchy(frame(spark, []), "id", "x", 3, 5).count() == 0
     same = frame(spark, [[1.0, 2.0]] * 9)
     assert {r["cluster"] for r in H.density_hierarchy(same, "id", "x", 3, 5).collect()} == {-1}
+
+
+def digits(df, capsys):
+    """Digits of the greatest size that Spark estimates in the plan."""
+    capsys.readouterr()
+    df.explain("cost")
+    return max((int(d) for d in re.findall(r"sizeInBytes=[\d.]+E\+(\d+) B", capsys.readouterr().out)), default=0)
+
+
+def test_estimated_sizes_stay_small_in_loops(spark, capsys):
+    """Joins of a loop's result with itself must not multiply its estimate round by round; that fills the driver."""
+    number = F.col("id")
+    line = spark.range(40).select(number.alias("cluster"), F.when(number > 0, number - 1).alias("parent"), (number % 7 == 3).alias("taken"))
+    highest = H._highest_taken(line)
+    # The highest taken one is 3, for all below it.
+    assert {r["cluster"]: r["chosen"] for r in highest.collect()} == {i: 3 if i >= 3 else None for i in range(40)}
+    assert digits(highest, capsys) < 30
+    groups = density.components(spark.range(40).select(F.lit(0).alias("config"), number.alias("u"), (number + 1).alias("v")))
+    assert {r["component"] for r in groups.collect()} == {0} and digits(groups, capsys) < 60
+    edges = spark.range(60).select(number.alias("u"), (number + 1).alias("v"), (number % 7).cast("double").alias("weight"))
+    tree = H.lightest_tree(edges, 10)
+    assert tree.count() == 60 and digits(tree, capsys) < 60
