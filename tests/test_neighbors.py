@@ -257,6 +257,34 @@ def test_best_linkage_is_the_best_of_each(points):
     assert {r["k"]: r["silhouette"] for r in rows if r["linkage"] == "average"} == pytest.approx(alone)
 
 
+def plain_cuts(x, w, linkage, ks):
+    """Labelings after the merges of all points, two nearest at a time."""
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    if linkage == "ward":
+        dist = np.sqrt(2 * np.outer(w, w) / (w[:, None] + w[None])) * dist
+    steps = clusters._merge(w, dist, linkage)
+    return [clusters._cut(len(x), steps, k) for k in ks]
+
+
+def grouping(labels):
+    return sorted(sorted(i for i, c in enumerate(labels) if c == v) for v in set(labels))
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average", "complete"])
+def test_all_rows_are_merged(spark, linkage):
+    """Rounds of merges by parts, with copies, lone points far away and clusters larger than a block and than a lot."""
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal(0, 1, (60, 3)), rng.normal(9, 1, (30, 3)), [[40.0, 0, 0], [41, 0, 0.5], [0, 80, 0]]])
+    w = np.where(np.arange(len(x)) % 7 == 0, 2, 1)
+    rows = np.repeat(x, w, axis=0)
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(rows)], "id int, x array<double>")
+    first = np.cumsum(w) - w
+    _, assigned = clusters.best_linkage(df, "id", "x", [linkage], [4], None, 0, rows_per_block=8, last=50)
+    found = {r["id"]: r["cluster"] for r in assigned.collect()}
+    assert len(found) == len(rows) and all(found[i] == found[i + 1] for i in first[w == 2])
+    assert grouping([found[i] for i in first]) == grouping(plain_cuts(x, w.astype(float), linkage, [4])[0])
+
+
 def test_too_many_micro_clusters_fail_loudly(points):
     with pytest.raises(ValueError, match="micro-clusters"):
         clusters.merge_table(points.withColumn("micro", F.col("id").cast("int")).withColumnRenamed("v", "x"), "id", max_micro=50)
