@@ -7,6 +7,7 @@ on, so ``C`` and ``alpha`` mean the same in every fold of a search and on the wh
 from __future__ import annotations
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -17,11 +18,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Bytes of kernel features that one task reads in a pass.
 TASK_BYTES = 64 << 20
@@ -99,8 +100,126 @@ def gbt_classifier(rounds: int = 100, max_depth: int = 3, rate: float = 0.1, see
     return GBTClassifier(maxIter=rounds, maxDepth=max_depth, stepSize=rate, seed=seed, **cols)
 
 
+# Rows whose values Spark's trees choose their split points from, at least.
+_SPLIT_ROWS = 10_000
+
+
+class BinnedGBTRegressor(GBTRegressor):
+    """Boosted trees on a row for each cell of the bins: the same trees, and no pass over the rows for a round.
+
+    Trees see of a row no more than the bins its features lie in, and the squared error splits rows by the sums and
+    counts of their labels.  So rows in the same bins are one row with their mean label and their number as weight.
+    Split points are chosen as Spark's trees do, from the same rows.  With options for which that does not hold
+    (another loss, weights, samples, least numbers of rows) the rows themselves are fitted.
+    """
+
+    def _fit(self, dataset):
+        plain = self.getLossType() == "squared" and self.getSubsamplingRate() == 1.0 and self.getMinInstancesPerNode() == 1
+        plain = plain and self.getMinWeightFractionPerNode() == 0.0 and self.getMinInfoGain() == 0.0
+        if not plain or self.isDefined(self.weightCol) or self.isDefined(self.validationIndicatorCol) or _has_levels(dataset, self.getFeaturesCol()):
+            return super()._fit(dataset)
+        cells, splits, sound = self.cells(dataset)
+        groups = cells.count() if sound else 0
+        if not groups:
+            # Its own message on labels that are missing, or no rows.
+            return super()._fit(dataset)
+        # All cells serve to find the bounds of the bins again.
+        inner = GBTRegressor(featuresCol="features", labelCol="label", weightCol="n", maxIter=self.getMaxIter(), maxDepth=self.getMaxDepth())
+        inner._set(stepSize=self.getStepSize(), seed=self.getSeed(), maxBins=max(self.getMaxBins(), int(groups**0.5) + 1))
+        inner._set(featureSubsetStrategy=self.getFeatureSubsetStrategy(), maxMemoryInMB=self.getMaxMemoryInMB())
+        inner._set(cacheNodeIds=self.getCacheNodeIds(), checkpointInterval=self.getCheckpointInterval())
+        model = inner.fit(cells)
+        cells.unpersist()
+        return self._copyValues(_with_splits(model, splits, self.uid))
+
+    def cells(self, dataset) -> tuple[DataFrame, list[list[float]], bool]:
+        """``(features, label, n)`` for each cell, kept; the split points of every feature; whether all labels are there."""
+        label = F.col(self.getLabelCol()).cast("double")
+        rows = dataset.select(vector_to_array(F.col(self.getFeaturesCol())).alias("x"), label.alias("y"))
+        splits = _split_points(rows.select("x"), self.getMaxBins(), self.getSeed())
+        codes = [_bin(F.col("x")[i], points).alias(f"c{i}") for i, points in enumerate(splits)]
+        found = rows.select(*codes, "y").groupBy(*[f"c{i}" for i in range(len(splits))])
+        missing = F.col("y").isNull() | F.isnan("y")
+        found = found.agg(F.avg("y").alias("label"), F.count(F.lit(1)).cast("double").alias("n"), F.count_if(missing).alias("missing"))
+        x = array_to_vector(F.array(*[F.col(f"c{i}").cast("double") for i in range(len(splits))]).cast("array<double>"))
+        cells = found.select(x.alias("features"), "label", "n", "missing").persist()
+        sound = not (cells.agg(F.sum("missing").alias("m")).first()["m"] or 0)
+        return cells.drop("missing"), splits, sound
+
+
+def _has_levels(dataset: DataFrame, col: str) -> bool:
+    """Whether the assembler has marked features as texts' numbers; trees take those one by one."""
+    attributes = dataset.schema[col].metadata.get("ml_attr", {}).get("attrs", {})
+    return any(kind in attributes for kind in ("nominal", "binary"))
+
+
+def _split_points(rows: DataFrame, max_bins: int, seed: int) -> list[list[float]]:
+    """Split points of every element of ``x``, from the rows that Spark's trees take and in their way."""
+    spark, total = rows.sparkSession, rows.count()
+    wanted = max(max_bins * max_bins, _SPLIT_ROWS)
+    if wanted < total:
+        # The trees' own sample, of about ``wanted`` rows.
+        draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
+        sampled = rows._jdf.javaRDD().sample(False, wanted / total, draw)
+        rows = DataFrame(spark._jsparkSession.createDataFrame(sampled, rows._jdf.schema()), spark)
+    held = [r["x"] for r in rows.collect()]
+    if not held:
+        return []
+    expected = wanted / total * total if wanted < total else float(total)
+    return [_points(np.array(values), min(max_bins, total) - 1, expected) for values in zip(*held)]
+
+
+def _points(values: np.ndarray, most: int, expected: float) -> list[float]:
+    """Split points of one feature: between all neighbouring values, or at about equal numbers of rows."""
+    # Zeros are what is left of the number of rows expected.
+    known, counts = np.unique(values[values != 0.0], return_counts=True)
+    zeros = expected - counts.sum()
+    if zeros > np.finfo(np.float64).eps * len(values) ** 2:
+        at = int(np.searchsorted(known, 0.0))
+        known, counts = np.insert(known, at, 0.0), np.insert(counts.astype(float), at, zeros)
+    if len(known) - 1 <= most:
+        return ((known[1:] + known[:-1]) / 2.0).tolist()
+    out, target, now = [], expected / (most + 1), float(counts[0])
+    for i in range(1, len(known)):
+        before, now = now, now + float(counts[i])
+        if abs(before - target) < abs(now - target):
+            out.append(float((known[i - 1] + known[i]) / 2.0))
+            target += expected / (most + 1)
+    return out
+
+
+def _bin(x: Column, points: list[float], low: int = 0, high: int | None = None) -> Column:
+    """The number of split points below ``x``, by halves."""
+    high = len(points) if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(x <= F.lit(points[middle]), _bin(x, points, low, middle)).otherwise(_bin(x, points, middle + 1, high))
+
+
+def _with_splits(model: GBTRegressionModel, splits: list[list[float]], uid: str) -> GBTRegressionModel:
+    """A model fitted on numbers of bins as one on the values themselves."""
+    jvm, java = SparkContext._active_spark_context._jvm, model._java_obj
+    ml = jvm.org.apache.spark.ml
+
+    def moved(node):
+        if node.getClass().getSimpleName() == "LeafNode":
+            return node
+        at = node.split().featureIndex()
+        split = ml.tree.ContinuousSplit(at, float(splits[at][int(node.split().threshold())]))
+        return ml.tree.InternalNode(
+            node.prediction(), node.impurity(), node.gain(), moved(node.leftChild()), moved(node.rightChild()), split, node.impurityStats()
+        )
+
+    gateway, trees, kind = SparkContext._gateway, java.trees(), ml.regression.DecisionTreeRegressionModel
+    new, weights = gateway.new_array(kind, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, java.treeWeights())):
+        new[i], weights[i] = kind(tree.uid(), moved(tree.rootNode()), len(splits)), weight
+    return GBTRegressionModel(ml.regression.GBTRegressionModel(uid, new, weights, len(splits)))
+
+
 def gbt_regressor(rounds: int = 100, max_depth: int = 3, rate: float = 0.1, seed: int = 42, **cols):
-    return GBTRegressor(maxIter=rounds, maxDepth=max_depth, stepSize=rate, seed=seed, **cols)
+    return BinnedGBTRegressor(maxIter=rounds, maxDepth=max_depth, stepSize=rate, seed=seed, **cols)
 
 
 class KernelSVM(Estimator):
