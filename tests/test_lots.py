@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from calibra.functions import blocks as B
+from calibra.functions import blocks as B, vectors as V
 from calibra.operators import density, hierarchy, lsh, models, neighbors, sampled, starts
 
 
@@ -107,3 +107,16 @@ def test_kernel_features_are_spread(spark, monkeypatch):
 def test_starts_are_spread(spark):
     points = frame(spark, np.zeros((9000, 1))).coalesce(1)
     assert starts._spread(points, 9000).rdd.getNumPartitions() == 3
+
+
+def test_blocks_far_from_the_origin_leave_few_candidates():
+    """Lines of points a thousand units apart, millions from the origin: only near pairs are looked at twice."""
+    i = np.random.default_rng(3).permutation(np.arange(200_000, 202_000))[:1200]
+    x = np.column_stack([np.floor(i / 50) * 1000.0, (i % 50) * (1 + i // 50 % 5) * 0.1])
+    a, b = x[:600], x[600:]
+    sq = ((a[:, None] - b[None]) ** 2).sum(-1)
+    found = V.Near(a, b).candidates(np.full(len(a), 2.25))
+    assert set(zip(*np.nonzero(sq <= 2.25))) <= set(zip(*found)) and len(found[0]) < len(a) * 60
+    assert V.sq_distances(a, b) == pytest.approx(sq, rel=1e-6)
+    near = np.random.default_rng(4).normal(size=(50, 3))
+    assert V._near_origin(near, near)[0] is near
